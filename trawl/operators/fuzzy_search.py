@@ -1,9 +1,8 @@
 """Typo-tolerant search: trigram similarity of tokens to a whole query.
 
 Each distinct token is scored once.  A token meets a query only through a
-shared trigram, and only through the first one they share, so every pair is
-formed and scored in one row, exactly: a similarity above a threshold of zero
-or more implies a shared trigram.
+shared trigram, which is exact: a similarity above a threshold of zero or more
+implies one.
 """
 
 from __future__ import annotations
@@ -36,24 +35,27 @@ def chunk_tokens(chunks: DataFrame) -> DataFrame:
 
 
 def token_similarities(queries: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """(query_id, word, similarity) of distinct words above the threshold."""
+    """(query_id, word, similarity) of distinct words above the threshold.
+
+    Words stay partitioned by word from their own shuffle on, so counting the
+    shared trigrams of each (word, query) needs no further one.
+    """
     asked = queries.select(
-        F.col("query_id").cast("string").alias("query_id"), trigram_set(F.col("query")).alias("q_grams")
-    ).select("query_id", "q_grams", F.explode("q_grams").alias("gram"))
-    offered = words.select("word", F.array_distinct(word_trigrams(F.col("word"))).alias("w_grams")).select(
-        "word", "w_grams", F.explode("w_grams").alias("gram")
+        F.col("query_id").cast("string").alias("query_id"), trigram_set(F.col("query")).alias("grams")
+    ).select("query_id", F.size("grams").alias("nq"), F.explode("grams").alias("gram"))
+    offered = words.select("word", F.array_distinct(word_trigrams(F.col("word"))).alias("grams")).select(
+        "word", F.size("grams").alias("nw"), F.explode("grams").alias("gram")
     )
-    nq, nw = F.size("q_grams"), F.size("w_grams")
-    shared = F.array_intersect("w_grams", "q_grams")
-    similarity = (F.size(shared) / (nq + nw - F.size(shared))).cast("float")
+    limit = F.lit(float(threshold))
+    sizes = (F.least("nq", "nw") / F.greatest("nq", "nw")).cast("float")
+    similarity = (F.col("shared") / (F.col("nq") + F.col("nw") - F.col("shared"))).cast("float")
     return (
         join_checked(offered, asked, "gram", spread="word")
-        # sizes alone bound the similarity, so most pairs end before the sets meet
-        .where((F.least(nq, nw) / F.greatest(nq, nw)).cast("float") > F.lit(float(threshold)))
-        .withColumn("shared", shared)
-        .where(F.col("shared")[0] == F.col("gram"))
+        .where(sizes > limit)  # the sizes alone bound the similarity
+        .groupBy("word", "nw", "query_id", "nq")
+        .agg(F.count("*").alias("shared"))
         .select("query_id", "word", similarity.alias("similarity"))
-        .where(F.col("similarity") > F.lit(float(threshold)))
+        .where(F.col("similarity") > limit)
     )
 
 
@@ -61,7 +63,11 @@ def fuzzy_matches(queries: DataFrame, chunks: DataFrame, threshold: float = FUZZ
     """(query_id, id, score): per chunk its closest token, above the threshold."""
     check_threshold(threshold)
     held = chunk_tokens(chunks)
-    close = materialize(token_similarities(queries, held.select("word").distinct(), threshold))
+    # combined on the map side first; the second step fixes how many tasks share
+    # the scoring, which weighs far more than the size of the words suggests
+    tasks = max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    words = held.select("word").distinct().repartition(tasks, "word")
+    close = materialize(token_similarities(queries, words, threshold))
     return (
         join_checked(held, close, "word", spread="id")
         .groupBy("query_id", "id")

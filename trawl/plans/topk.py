@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.plans.sizing import SALTS, at_most
+from trawl.plans.sizing import BROADCAST_ROWS, SALTS, at_most
 
 SCORE_DIGITS = 6
 WINDOW_LIMIT_ROWS = 1000
@@ -55,18 +55,14 @@ def with_payload(results: DataFrame, elements: DataFrame, rows: int, columns=PAY
     """Join the wide columns back onto a finished ranking.
 
     ``rows`` bounds the ranking (queries times k); small rankings are
-    broadcast, so the element table is read once and not shuffled.  On a
-    bucketed table the bucket joins too, which prunes the buckets read.
+    broadcast, so the element table is read once and not shuffled.
     """
     wide = [c for c in columns if c in elements.columns]
-    keys = ["id"]
-    if "bucket" in elements.columns and "bucket" in results.columns:
-        keys.append("bucket")
-    side = F.broadcast(results) if rows <= 200_000 else results
-    return elements.select(*keys, *wide).join(side, keys)
+    side = F.broadcast(results) if rows <= BROADCAST_ROWS else results
+    return elements.select("id", *wide).join(side, "id")
 
 
-def bounded_rows(queries: DataFrame, k: int, limit: int = 200_000) -> int:
+def bounded_rows(queries: DataFrame, k: int, limit: int = BROADCAST_ROWS) -> int:
     """queries x k when that is within ``limit``, else just above it."""
     most = max(limit // k, 1)
     return most * k if at_most(queries, most) else limit + 1
