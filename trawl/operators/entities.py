@@ -16,7 +16,7 @@ DIRECTIONS = ("OUTGOING", "INCOMING", "BOTH")
 
 
 def find_entities(ids: DataFrame, entities: DataFrame) -> DataFrame:
-    return join_checked(entities, ids.select("id").distinct(), "id", spread="id")
+    return join_checked(entities, ids.select("id").distinct(), "id")
 
 
 def find_by_label(entities: DataFrame, label: str) -> DataFrame:

@@ -42,21 +42,23 @@ def hybrid_scores(
     """
     check_weight(vector_weight)
     check_weight(text_weight)
-    matches = text_matches(
-        queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies
+    matches = materialize(
+        text_matches(
+            queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies
+        )
     )
     asked = queries.select(
         F.col("query_id").cast("string").alias("query_id"), F.col("embedding").alias("query_embedding")
     )
     # ids and vectors only: the text is not part of this join
     vectors = chunks.where(F.col("embedding").isNotNull()).select("id", "embedding")
-    paired = join_checked(matches.join(vectors, "id", "left"), asked, "query_id", spread="id")
+    # the matches pick their vectors out of the scan; with many of them both
+    # sides are shuffled on the chunk, which is unique among the vectors
+    paired = join_checked(join_checked(vectors, matches.select("query_id", "id"), "id"), asked, "query_id", spread="id")
     cosine = cosine_similarity(F.col("embedding"), F.col("query_embedding"))
-    return paired.select(
-        "query_id",
-        "id",
-        cosine.alias("vec_score"),
-        share_of_one(F.col("raw_rank")).alias("text_score"),
+    compared = paired.select("query_id", "id", cosine.alias("vec_score"))
+    return matches.join(compared, ["query_id", "id"], "left").select(
+        "query_id", "id", "vec_score", share_of_one(F.col("raw_rank")).alias("text_score")
     ).withColumn(
         "score",
         F.coalesce("vec_score", F.lit(0.0)) * F.lit(float(vector_weight))

@@ -71,7 +71,7 @@ def as_roots(elements: DataFrame) -> DataFrame:
 
 
 def find_by_id(ids: DataFrame, elements: DataFrame) -> DataFrame:
-    return join_checked(elements.select(*READ), ids.select("id").distinct(), "id", spread="id")
+    return join_checked(elements.select(*READ), ids.select("id").distinct(), "id")
 
 
 def find_chunks(ids: DataFrame, elements: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def raw_content(ids: DataFrame, elements: DataFrame) -> DataFrame:
     rows = elements.where(has_label("Document")).select(
         "id", "uri", "raw_content", "content_type", "labels", "metadata"
     )
-    return join_checked(rows, ids.select("id").distinct(), "id", spread="id")
+    return join_checked(rows, ids.select("id").distinct(), "id")
 
 
 def statistics(elements: DataFrame) -> DataFrame:

@@ -20,6 +20,9 @@ from trawl.plans.lineage import materialize
 from trawl.plans.sizing import join_checked
 from trawl.plans.topk import bounded_rows, cut, top_k, with_payload
 
+# Up to this many lexemes reach an index scan as a pushed-down IN list.
+PUSHED_LEXEMES = 200
+
 
 def hits_by_chunk(positions: DataFrame) -> DataFrame:
     """(id, hits): per chunk a map from lexeme to positions."""
@@ -47,8 +50,13 @@ def text_matches(
     if index is None:
         positions = matching_positions(chunks, wanted, kind)
     else:
-        within = index.join(chunks.select("id"), "id", "left_semi")
-        positions = join_checked(within, wanted, "lexeme", spread="id").repartition("id")
+        # lexemes first: they cut the index down before anything is shuffled
+        few = [r.lexeme for r in wanted.limit(PUSHED_LEXEMES + 1).collect()]
+        if len(few) <= PUSHED_LEXEMES:
+            found = index.where(F.col("lexeme").isin(few))
+        else:
+            found = join_checked(index, wanted, "lexeme", spread="id")
+        positions = found.select("id", "lexeme", "positions").join(chunks.select("id"), "id", "left_semi").repartition("id")
     by_chunk = hits_by_chunk(positions)
 
     clauses = forms.select(
@@ -123,11 +131,13 @@ def prefix_matches(prefixes: DataFrame, chunks: DataFrame, *, index: DataFrame |
 
         held = chunks.select("id", F.explode(F.array_distinct(words(F.col("text")))).alias("lexeme"))
     else:
-        held = index.join(chunks.select("id"), "id", "left_semi").select("id", "lexeme")
+        held = index.select("id", "lexeme")
     starts = F.array(*[F.when(F.length("lexeme") >= n, F.left("lexeme", F.lit(n))) for n in sorted(lengths)])
     keyed = held.select("id", "lexeme", F.explode(F.array_compact(starts.cast("array<string>"))).alias("start"))
+    met = join_checked(keyed, wanted, "start", spread="id")
+    if index is not None:
+        met = met.join(chunks.select("id"), "id", "left_semi")
     return (
-        join_checked(keyed, wanted, "start", spread="id")
-        .groupBy("query_id", "id")
+        met.groupBy("query_id", "id")
         .agg(F.count("*").alias("words"))
     )

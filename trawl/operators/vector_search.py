@@ -2,8 +2,8 @@
 
 The corpus is scanned in place and never shuffled: every task compares its
 Arrow batches with a block of query vectors and keeps a running top-k, so a
-task emits at most ``queries x k`` rows whatever it reads.  A query block has a
-fixed size in bytes; a query table larger than one block is searched in as many
+task emits at most ``queries x k`` rows whatever it reads.  A query block is bounded
+in bytes and rows; a query table larger than one block is searched in as many
 scans as it has blocks.
 """
 
@@ -22,6 +22,8 @@ from trawl.functions.filters import Filter, combine
 from trawl.plans.topk import SCORE_DIGITS, bounded_rows, check_k, cut, top_k, with_payload
 
 QUERY_BLOCK_BYTES = 32 << 20
+QUERY_BLOCK_ROWS = 16_384
+SLICE_ROWS, SLICE_QUERIES = 1024, 2048
 HITS = "query_id string, id string, score double"
 EVERYWHERE = -1
 
@@ -49,25 +51,32 @@ def arrow_matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> np.ndarr
 
 
 class Best:
-    """The k best (score, id) pairs seen for one query; ties to the smaller id."""
+    """The k best (score, id) pairs of each query; ties go to the smaller id."""
 
-    def __init__(self, k: int):
+    def __init__(self, queries: int, k: int):
         self.k = k
-        self.scores = np.empty(0)
-        self.ids = np.empty(0, dtype=object)
+        self.floors = np.full(queries, -np.inf)
+        self.held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def offer(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        floor = self.scores[-1] if len(self.scores) == self.k else -np.inf
-        near = np.flatnonzero(scores >= floor)
+    def offer(self, members: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of corpus rows (down) for the queries ``members`` (across)."""
+        peaks = scores.max(axis=0)
+        for at in np.flatnonzero((peaks >= self.floors[members]) & (peaks > -np.inf)):
+            self._keep(int(members[at]), scores[:, at], ids)
+
+    def _keep(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        near = np.flatnonzero((scores >= self.floors[q]) & (scores > -np.inf))
         if len(near) > self.k:
             kept = scores[near]
             near = near[kept >= np.partition(kept, len(kept) - self.k)[len(kept) - self.k]]
-        if len(near) == 0:
-            return
-        scores = np.concatenate([self.scores, scores[near]])
-        ids = np.concatenate([self.ids, ids[near]])
+        scores, ids = scores[near], ids[near]
+        if q in self.held:
+            scores = np.concatenate([self.held[q][0], scores])
+            ids = np.concatenate([self.held[q][1], ids])
         order = np.lexsort((ids.astype(str), -scores))[: self.k]
-        self.scores, self.ids = scores[order], ids[order]
+        self.held[q] = scores[order], ids[order]
+        if len(order) == self.k:
+            self.floors[q] = scores[order[-1]]
 
 
 def scan_kernel(query_ids: list[str], vectors: np.ndarray, cells: list[list[int]] | None, k: int):
@@ -75,16 +84,18 @@ def scan_kernel(query_ids: list[str], vectors: np.ndarray, cells: list[list[int]
 
     Corpus batches hold ``id``, ``embedding`` and, when ``cells`` is given, the
     ``cell`` of each row; a query then only meets the rows of its own cells.
+    Score matrices are formed in slices of a fixed size.
     """
     dimension = vectors.shape[1]
     unit = unit_rows(vectors).T
-    by_cell: dict[int, list[int]] = {}
+    grouped: dict[int, list[int]] = {}
     for q, own in enumerate(cells or [[EVERYWHERE]] * len(query_ids)):
         for cell in own:
-            by_cell.setdefault(cell, []).append(q)
+            grouped.setdefault(cell, []).append(q)
+    by_cell = {cell: np.array(members) for cell, members in grouped.items()}
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, Best] = {}
+        best = Best(len(query_ids), k)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -96,24 +107,20 @@ def scan_kernel(query_ids: list[str], vectors: np.ndarray, cells: list[list[int]
                 else batch.column("cell").to_numpy(zero_copy_only=False)
             )
             for cell in np.unique(cell_of):
-                members = by_cell.get(int(cell))
-                if not members:
-                    continue
+                members = by_cell.get(int(cell), ())
                 here = np.flatnonzero(cell_of == cell)
-                scores = np.round(rows[here] @ unit[:, members], SCORE_DIGITS)
-                scores[np.isnan(scores)] = -np.inf
-                for column, q in enumerate(members):
-                    best.setdefault(q, Best(k)).offer(scores[:, column], ids[here])
-        out: tuple[list, list, list] = ([], [], [])
-        for q, found in best.items():
-            real = np.isfinite(found.scores)
-            out[0].extend([query_ids[q]] * int(real.sum()))
-            out[1].extend(found.ids[real])
-            out[2].extend(found.scores[real])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.float64())],
-            names=["query_id", "id", "score"],
-        )
+                for i in range(0, len(here) if len(members) else 0, SLICE_ROWS):
+                    part = here[i : i + SLICE_ROWS]
+                    for j in range(0, len(members), SLICE_QUERIES):
+                        asked = members[j : j + SLICE_QUERIES]
+                        scores = np.round(rows[part] @ unit[:, asked], SCORE_DIGITS)
+                        scores[np.isnan(scores)] = -np.inf
+                        best.offer(asked, scores, ids[part])
+        for q, (scores, ids) in best.held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([query_ids[q]] * len(ids), pa.string()), pa.array(ids, pa.string()), pa.array(scores, pa.float64())],
+                names=["query_id", "id", "score"],
+            )
 
     return kernel
 
@@ -130,7 +137,7 @@ def query_blocks(queries: DataFrame, block_bytes: int = QUERY_BLOCK_BYTES):
         return
     if dimension != shortest:
         raise ValueError("query embeddings differ in length")
-    blocks = ceil(total * dimension * 4 / block_bytes)
+    blocks = max(ceil(total * dimension * 4 / block_bytes), ceil(total / QUERY_BLOCK_ROWS))
     numbered = present.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     for number in range(blocks):
         part = numbered if blocks == 1 else numbered.where(F.col("_block") == number)

@@ -191,11 +191,14 @@ def digest_vector(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [b / 255.0 for b in hashlib.md5((t or "").encode()).digest()[:8]])
 
 
-@query("embedder_hook")
+@query("embedder_hook", f"""
+WITH {sql.CHUNKS}
+SELECT id, 8 AS dimension, round(CAST('0x' || substring(md5(text), 1, 2) AS INTEGER) / 255.0, 4) AS first FROM chunks
+""")
 def embedder(spark, sf):
     """A user's pandas UDF fills the embedding column."""
     rows = upsert.embed_texts(c.chunks(spark, sf, embeddings=False), digest_vector)
-    return rows.select("id", F.size("embedding").alias("dimension"), F.round(F.col("embedding")[0], 4).alias("first"))
+    return rows.select("id", F.size("embedding").alias("dimension"), F.round(F.col("embedding")[0].cast("double"), 4).alias("first"))
 
 
 def _store(spark) -> ContentStore:

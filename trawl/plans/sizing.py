@@ -18,20 +18,23 @@ def join_checked(
     big: DataFrame,
     small: DataFrame,
     on: str,
-    spread: str,
+    spread: str | None = None,
     *,
-    rows: int = BROADCAST_ROWS,
+    rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner join of a large table with a query-side one.
 
     The query side is broadcast when its row count passes the check.  Beyond
-    it both sides are shuffled on the key plus a salt taken from the ``spread``
-    column of the large side, so one key that holds a third of the rows is
-    shared by ``salts`` tasks.
+    it both sides are shuffled.  Where a key of the large side may repeat
+    without limit (a word, a parent), name a ``spread`` column: its hash salts
+    the key, so one that holds a third of the rows is shared by ``salts``
+    tasks.  Keys unique on the large side need none.
     """
-    if at_most(small, rows):
+    if at_most(small, BROADCAST_ROWS if rows is None else rows):
         return big.join(F.broadcast(small), on)
+    if spread is None:
+        return big.join(small, on)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     return salted.join(copies, [on, "_salt"]).drop("_salt")

@@ -26,10 +26,11 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 
 class Table:
-    """One bucketed table under ``path``, bucketed on ``key``."""
+    """One table under ``path``, bucketed on ``key``, sorted by ``order``."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "id", buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "id", buckets: int = BUCKETS, order: str | None = None):
         self.spark, self.path, self.schema, self.key, self.buckets = spark, path, schema, key, buckets
+        self.order = order or key
 
     def bucketed(self, df: DataFrame) -> DataFrame:
         return conform(df.drop("bucket"), self.schema).withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
@@ -60,7 +61,7 @@ class Table:
         if sliced:
             rows = rows.repartition("bucket")
         (
-            rows.sortWithinPartitions("bucket", self.key)
+            rows.sortWithinPartitions("bucket", self.order)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")
@@ -103,7 +104,8 @@ class ContentStore:
     def __init__(self, spark: SparkSession, path: str, *, kind: str = "english", buckets: int = BUCKETS):
         self.kind = kind
         self.elements = Table(spark, f"{path}/elements", ELEMENTS, buckets=buckets)
-        self.postings = Table(spark, f"{path}/postings", POSTINGS, buckets=buckets)
+        # sorted by lexeme inside each bucket, so a search skips row groups
+        self.postings = Table(spark, f"{path}/postings", POSTINGS, buckets=buckets, order="lexeme")
 
     def save(self, updates: DataFrame, how: Callable[..., DataFrame], **options) -> None:
         """Apply one of the element upserts and refresh the postings it changed."""
