@@ -175,14 +175,12 @@ def _json_equals(value: Column, expected: Any) -> Column:
         )
     if isinstance(expected, (list, tuple)):
         items = F.try_variant_get(value, "$", "array<variant>")
-        return reduce(
-            lambda a, b: a & b,
-            [
-                F.coalesce(F.exists(items, lambda item, v=v: F.coalesce(_json_equals(item, v), F.lit(False))), F.lit(False))
-                for v in expected
-            ],
-            kind.startswith("ARRAY"),
-        )
+
+        def held(v: Any) -> Column:
+            some = F.exists(items, lambda item: F.coalesce(_json_equals(item, v), F.lit(False)))
+            return F.coalesce(some, F.lit(False))
+
+        return reduce(lambda a, b: a & b, map(held, expected), kind.startswith("ARRAY"))
     raise TypeError(f"no JSON form for a filter value of type {type(expected).__name__}")
 
 

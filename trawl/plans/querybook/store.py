@@ -18,10 +18,14 @@ from trawl.sources.schemas import conform, with_derived
 from trawl.sources.store import ContentStore
 from trawl.streaming.upkeep import upkeep
 
-NOW = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
 ROOT_URI = "'corpus://' || source || '/' || doc_id"
 
 
+def now():
+    """A fixed time for new rows, so that results repeat."""
+    return F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def labelled(spark, sf):
     """documents with their labels."""
     return c.read(spark, sf, "documents").join(c.read(spark, sf, "labels"), "doc_id")
@@ -134,13 +138,13 @@ SELECT *, {CLEAN} AS clean_text FROM after
 @query("save_elements", upsert_sql("c.embedding IS NOT NULL"))
 def save_elements(spark, sf):
     """Embeddings and time stamps of known elements stay."""
-    return shown(upsert.save_elements(c.chunks(spark, sf), changes(spark, sf), order="turn", now=NOW))
+    return shown(upsert.save_elements(c.chunks(spark, sf), changes(spark, sf), order="turn", now=now()))
 
 
 @query("save_chunks_without_vector", upsert_sql("n.id IS NULL AND c.embedding IS NOT NULL"))
 def save_chunks_without(spark, sf):
     """The vector of an updated chunk becomes NULL."""
-    return shown(upsert.save_chunks(c.chunks(spark, sf), changes(spark, sf), order="turn", now=NOW))
+    return shown(upsert.save_chunks(c.chunks(spark, sf), changes(spark, sf), order="turn", now=now()))
 
 
 @query("persist_chunks", upsert_sql("""CASE WHEN n.id IS NULL THEN c.embedding IS NOT NULL
@@ -148,7 +152,7 @@ def save_chunks_without(spark, sf):
 def persist(spark, sf):
     """Chunks with the vectors given for them; the rest get none."""
     vectors = c.read(spark, sf, "embeddings").select(F.concat(F.lit("conv-"), "vec_id").alias("id"), "embedding")
-    after = upsert.persist_chunks(c.chunks(spark, sf), changes(spark, sf), vectors, order="turn", now=NOW)
+    after = upsert.persist_chunks(c.chunks(spark, sf), changes(spark, sf), vectors, order="turn", now=now())
     return shown(after)
 
 
@@ -163,7 +167,7 @@ LEFT JOIN pages p ON e.id = 'page-' || p.page_id
 """)
 def save_documents(spark, sf):
     """Pages stored with their bytes next to the documents."""
-    after = upsert.save_documents(c.document_roots(spark, sf), c.page_roots(spark, sf), now=NOW)
+    after = upsert.save_documents(c.document_roots(spark, sf), c.page_roots(spark, sf), now=now())
     return after.select(
         "id", "uri", "metadata", F.md5("raw_content").alias("digest"),
         F.octet_length("raw_content").cast("bigint").alias("n_bytes"), "content_type", "urtext",
@@ -181,7 +185,7 @@ def transformer(spark, sf):
     def tidy(rows):
         return rows.withColumn("text", F.lower(F.trim("text")))
 
-    after = upsert.persist_chunks(empty, fresh, fresh.select("id", "embedding"), now=NOW, transform=tidy)
+    after = upsert.persist_chunks(empty, fresh, fresh.select("id", "embedding"), now=now(), transform=tidy)
     return after.select("id", "text", "urtext")
 
 

@@ -8,19 +8,48 @@ from pyspark.sql import types as T
 
 from trawl.functions import text as tx
 
-ELEMENTS = T.StructType.fromDDL(
-    "id string not null, uri string, text string, urtext string, clean_text string, "
-    "tokens array<string>, embedding array<float>, parent_id string, labels array<string>, "
-    "metadata string, ingestion_timestamp timestamp_ntz, raw_content binary, content_type string"
+TEXT, TEXTS, VECTOR = T.StringType(), T.ArrayType(T.StringType()), T.ArrayType(T.FloatType())
+
+ELEMENTS = (
+    T.StructType()
+    .add("id", TEXT, False)
+    .add("uri", TEXT)
+    .add("text", TEXT)
+    .add("urtext", TEXT)
+    .add("clean_text", TEXT)
+    .add("tokens", TEXTS)
+    .add("embedding", VECTOR)
+    .add("parent_id", TEXT)
+    .add("labels", TEXTS)
+    .add("metadata", TEXT)
+    .add("ingestion_timestamp", T.TimestampNTZType())
+    .add("raw_content", T.BinaryType())
+    .add("content_type", TEXT)
+)
+ENTITIES = (
+    T.StructType()
+    .add("id", TEXT, False)
+    .add("name", TEXT, False)
+    .add("description", TEXT)
+    .add("uri", TEXT)
+    .add("labels", TEXTS)
+    .add("properties", TEXT)
+    .add("metadata", TEXT)
+    .add("context_id", TEXT)
+    .add("embedding", VECTOR)
 )
-ENTITIES = T.StructType.fromDDL(
-    "id string not null, name string not null, description string, uri string, "
-    "labels array<string>, properties string, metadata string, context_id string, "
-    "embedding array<float>"
+RELATIONSHIPS = (
+    T.StructType()
+    .add("source_id", TEXT, False)
+    .add("target_id", TEXT, False)
+    .add("relationship_name", TEXT, False)
+    .add("properties", TEXT)
 )
-RELATIONSHIPS = T.StructType.fromDDL(
-    "source_id string not null, target_id string not null, relationship_name string not null, "
-    "properties string"
+POSTINGS = (
+    T.StructType()
+    .add("id", TEXT, False)
+    .add("lexeme", TEXT, False)
+    .add("positions", T.ArrayType(T.IntegerType()))
 )
 DERIVED = ("clean_text", "tokens")
 

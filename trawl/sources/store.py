@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from trawl.functions.text import WORD
 from trawl.plans.lineage import materialize
-from trawl.sources.schemas import ELEMENTS, conform
+from trawl.sources.schemas import ELEMENTS, POSTINGS, conform
 
 BUCKETS = 64
 
@@ -95,9 +95,6 @@ class Table:
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-POSTINGS = T.StructType.fromDDL("id string not null, lexeme string not null, positions array<int>")
-
-
 class ContentStore:
     """Elements and their postings kept in step."""
 
