@@ -71,19 +71,24 @@ class Table:
     def append(self, df: DataFrame) -> None:
         self._write(df, "append")
 
-    def change(self, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+    def change(self, touched: DataFrame, change: Callable[[DataFrame], DataFrame], *, removes: bool = False) -> None:
         """Rewrite the buckets that hold the keys of ``touched``.
 
-        ``change`` maps the present rows of those buckets to their next state,
-        which is written aside before the buckets are overwritten from it.  An
-        overwrite leaves a bucket without new rows as it was, so one that ends
-        empty is removed.
+        ``change`` maps the present rows of those buckets to their next state;
+        new files are staged and swapped in when the job commits.  An overwrite
+        leaves a bucket without new rows as it was, so a change that
+        ``removes`` rows is written aside first, and a bucket that ends empty
+        is dropped.
         """
         chosen = self.buckets_of(touched)
         if not chosen:
             return
         present = self.read().where(F.col("bucket").isin(chosen))
-        after = materialize(self.bucketed(change(present.drop("bucket"))))
+        after = change(present.drop("bucket"))
+        if not removes:
+            self._write(after, "overwrite")
+            return
+        after = materialize(self.bucketed(after))
         self._write(after, "overwrite")
         left = {r.bucket for r in after.select("bucket").distinct().collect()}
         for number in chosen:
@@ -118,7 +123,7 @@ class ContentStore:
         texts = self.elements.lookup(ids).where("text IS NOT NULL").select("id", "text")
         fresh = materialize(postings(texts, self.kind))
         self.postings.change(
-            ids, lambda present: present.join(ids, "id", "left_anti").unionByName(fresh)
+            ids, lambda present: present.join(ids, "id", "left_anti").unionByName(fresh), removes=True
         )
 
     def without_postings(self) -> DataFrame:
@@ -142,5 +147,5 @@ class ContentStore:
         doomed = materialize(descendants(roots_by_uri(uris, present), present))
         ids = doomed.select("id").distinct()
         for table in (self.elements, self.postings):
-            table.change(ids, lambda rows: rows.join(ids, "id", "left_anti"))
+            table.change(ids, lambda rows: rows.join(ids, "id", "left_anti"), removes=True)
         return doomed.groupBy("root_uri").agg(F.countDistinct("id").alias("deleted"))
