@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from trawl.functions.filters import HasAnyLabel
 from trawl.operators import delete, lookup, upsert
 from trawl.sources.schemas import ELEMENTS, check_dimension, conform
 from trawl.sources.store import ContentStore
@@ -160,8 +161,12 @@ def test_store_backfill_delete_and_search(spark, tmp_path, make_queries):
     root = conform(spark.createDataFrame([("root", "u", ["Document"])], "id string, uri string, labels array<string>"))
     store.elements.append(rows.unionByName(root))
     assert store.backfill() == 2 and store.backfill() == 0
-    found = text_search(make_queries({"q": "learning"}), store.elements.read(), 10, index=store.postings.read())
-    assert {r.id for r in found.collect()} == {"c1", "c2"}
+    asked, elements, index = make_queries({"q": "learning"}), store.elements.read(), store.postings.read()
+    assert {r.id for r in text_search(asked, elements, 10, index=index).collect()} == {"c1", "c2"}
+    ranked = text_search(asked, elements, 10, index=index, entity_filter=HasAnyLabel(["Chunk"]), payload=False)
+    assert {r.id: r.text for r in store.elements.attach(ranked).collect()} == {"c1": "machine learning", "c2": "learning to fly"}
+    none = text_search(asked, elements, 10, index=index, entity_filter=HasAnyLabel(["Other"]), payload=False)
+    assert none.count() == 0
     assert [tuple(r) for r in store.delete_trees(spark.createDataFrame([("u",)], "uri string")).collect()] == [("u", 4)]
     assert store.elements.read().count() == 0 and store.postings.read().count() == 0
 

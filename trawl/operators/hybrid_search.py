@@ -38,13 +38,16 @@ def hybrid_scores(
 ) -> DataFrame:
     """(query_id, id, vec_score, text_score, score) of every text match.
 
+    ``index`` holds the postings of exactly these chunks.
+
     A match without a vector keeps its text part.  ``vec_score`` stays NULL.
     """
     check_weight(vector_weight)
     check_weight(text_weight)
     matches = materialize(
         text_matches(
-            queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies
+            queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies,
+            filtered=False,
         )
     )
     asked = queries.select(

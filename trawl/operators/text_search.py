@@ -17,13 +17,23 @@ from trawl.operators.lexicon import Analyzer, matching_positions
 from trawl.operators.query_terms import query_forms, query_terms
 from trawl.operators.vector_search import is_chunk
 from trawl.plans.lineage import materialize
-from trawl.plans.sizing import join_checked
+from trawl.plans.sizing import BROADCAST_ROWS, at_most, join_checked
 from trawl.plans.topk import bounded_rows, cut, top_k, with_payload
 
 # Up to this many lexemes reach an index scan as a pushed-down IN list.
 PUSHED_LEXEMES = 200
 
 
+def _within(found: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The hits that lie in ``chunks``.  Few hits pick their chunks out of the
+    scan; with many both sides are shuffled on the id."""
+    found = materialize(found)
+    if at_most(found, BROADCAST_ROWS):
+        chunks = chunks.join(F.broadcast(found.select("id").distinct()), "id", "left_semi")
+        return found.join(F.broadcast(chunks.select("id")), "id", "left_semi")
+    return found.join(chunks.select("id"), "id", "left_semi")
+
+
 def hits_by_chunk(positions: DataFrame) -> DataFrame:
     """(id, hits): per chunk a map from lexeme to positions."""
     return positions.groupBy("id").agg(
@@ -39,11 +49,13 @@ def text_matches(
     kind: str | Analyzer = "english",
     index: DataFrame | None = None,
     frequencies: DataFrame | None = None,
+    filtered: bool = True,
 ) -> DataFrame:
     """(query_id, id, raw_rank) of every chunk that matches a query.
 
     ``chunks`` are searchable rows (id, text).  With ``index``, a stored
-    postings table of the same chunks, the texts are not read again.
+    postings table of chunks, the texts are not read again; when ``chunks`` are
+    not ``filtered``, that is all the chunks of the index, neither are the ids.
     """
     forms = materialize(query_forms(query_terms(queries, syntax, kind), frequencies))
     wanted = forms.select(F.explode("lexemes").alias("lexeme")).distinct()
@@ -56,7 +68,8 @@ def text_matches(
             found = index.where(F.col("lexeme").isin(few))
         else:
             found = join_checked(index, wanted, "lexeme", spread="id")
-        positions = found.select("id", "lexeme", "positions").join(chunks.select("id"), "id", "left_semi").repartition("id")
+        found = found.select("id", "lexeme", "positions")
+        positions = (_within(found, chunks) if filtered else found).repartition("id")
     by_chunk = hits_by_chunk(positions)
 
     clauses = forms.select(
@@ -109,7 +122,8 @@ def text_search(
     """
     chunks = elements.where(is_chunk() & combine(metadata_filter, entity_filter))
     matches = text_matches(
-        queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies
+        queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies,
+        filtered=metadata_filter is not None or entity_filter is not None,
     )
     ranked = top_k(matches, k, score="raw_rank").withColumn("score", text_score(F.col("raw_rank")))
     results = cut(ranked, threshold, ceiling)

@@ -8,7 +8,7 @@ bucket, not across buckets.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from trawl.functions.text import WORD
 from trawl.plans.lineage import materialize
+from trawl.plans.sizing import join_checked
+from trawl.plans.topk import PAYLOAD
 from trawl.sources.schemas import ELEMENTS, POSTINGS, conform
 
 BUCKETS = 64
@@ -56,12 +58,20 @@ class Table:
         present = self.read().where(F.col("bucket").isin(self.buckets_of(keys)))
         return present.join(keys.select(self.key), self.key, "left_semi")
 
-    def _write(self, df: DataFrame, mode: str, sliced: bool = True) -> None:
-        rows = self.bucketed(df)
-        if sliced:
-            rows = rows.repartition("bucket")
+    def attach(self, results: DataFrame, columns: Sequence[str] = PAYLOAD) -> DataFrame:
+        """A finished ranking with columns of this table, read from the buckets
+        of its ids only."""
+        results = materialize(results)
+        present = self.read().where(F.col("bucket").isin(self.buckets_of(results)))
+        return join_checked(present.select(self.key, *columns), results, self.key)
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        # rebalanced, not just repartitioned: a bucket above the advisory size
+        # is split over several tasks and files
         (
-            rows.sortWithinPartitions("bucket", self.order)
+            self.bucketed(df)
+            .hint("rebalance", F.col("bucket"))
+            .sortWithinPartitions("bucket", self.order)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")
@@ -76,24 +86,19 @@ class Table:
 
         ``change`` maps the present rows of those buckets to their next state;
         new files are staged and swapped in when the job commits.  An overwrite
-        leaves a bucket without new rows as it was, so a change that
-        ``removes`` rows is written aside first, and a bucket that ends empty
-        is dropped.
+        leaves a bucket without new rows as it was, so after a change that
+        ``removes`` rows a bucket that ends empty is dropped.
         """
         chosen = self.buckets_of(touched)
         if not chosen:
             return
         present = self.read().where(F.col("bucket").isin(chosen))
         after = change(present.drop("bucket"))
-        if not removes:
-            self._write(after, "overwrite")
-            return
-        after = materialize(self.bucketed(after))
+        # reads the keys alone; no more numbers than buckets exist
+        left = set(self.buckets_of(after)) if removes else set(chosen)
         self._write(after, "overwrite")
-        left = {r.bucket for r in after.select("bucket").distinct().collect()}
-        for number in chosen:
-            if number not in left:
-                self._clear(number)
+        for number in set(chosen) - left:
+            self._clear(number)
 
     def _clear(self, number: int) -> None:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/bucket={number}")
@@ -117,18 +122,24 @@ class ContentStore:
         self.refresh_postings(updates.select("id").distinct())
 
     def refresh_postings(self, ids: DataFrame) -> None:
-        """Rewrite the postings of the given elements from their present text."""
+        """Rewrite the postings of the given elements from their present text.
+
+        Only chunks have postings, so a search without a filter needs no look
+        at the elements.
+        """
         from trawl.operators.lexicon import postings
 
-        texts = self.elements.lookup(ids).where("text IS NOT NULL").select("id", "text")
+        chunk = F.array_contains("labels", "Chunk")
+        texts = self.elements.lookup(ids).where(chunk & F.col("text").isNotNull()).select("id", "text")
         fresh = materialize(postings(texts, self.kind))
         self.postings.change(
             ids, lambda present: present.join(ids, "id", "left_anti").unionByName(fresh), removes=True
         )
 
     def without_postings(self) -> DataFrame:
-        """Elements with a text but no postings row yet."""
-        held = self.elements.read().where(F.col("text").rlike(WORD)).select("id", "text")
+        """Chunks with words but no postings row yet."""
+        chunk = F.array_contains("labels", "Chunk")
+        held = self.elements.read().where(chunk & F.col("text").rlike(WORD)).select("id", "text")
         return held.join(self.postings.read().select("id"), "id", "left_anti")
 
     def backfill(self) -> int:
