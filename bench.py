@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [--full]
 
 Prints one JSON line.  Each query is run once to warm up and then timed (best
-of three with ``--full``, which adds batches of 1 and 1,000 queries).
+of two with ``--full``, which adds batches of 1 and 1,000 queries).
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ def main() -> None:
 
     indexed = {"index": index, "frequencies": frequencies}
     sizes = (1, 100, 1000) if FULL else (100,)
-    repeats = 3 if FULL else 1
+    repeats = 2 if FULL else 1
     for n in sizes:
         v, q = first(vectors, n), first(asked, n)
         cases = {
@@ -104,6 +104,7 @@ def main() -> None:
         for name, action in cases.items():
             action()
             timings[name] = timed(action, repeats)
+            print(name, timings[name], file=sys.stderr, flush=True)
     timings["statistics"] = timed(lambda: run(statistics(elements)), repeats)
     changed = materialize(
         elements.where(is_chunk() & (F.pmod(F.xxhash64("id"), F.lit(100)) == 0)).withColumn("text", F.upper("text"))
