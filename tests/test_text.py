@@ -14,7 +14,7 @@ TOPICS = {
     "t3": "Kubernetes runs containers, deploying and scaling services.",
     "t4": "Flight bookings can be changed or cancelled under the fare rules.",
     "t5": "Rebooking a flight needs a call to the airline a day ahead.",
-    "t6": "A relational database answers SQL; PostgreSQL is one such database.",
+    "t6": "A relational database answers SQL; SQLite is one such database.",
     "t7": "Vector search finds similar content through embeddings.",
     "t8": "Gold members reach the concierge desk by phone: 1-800-555-0100, the service number of the gold tier.",
     "t9": "Silver members pay a lower change fee than others, gold ones none.",
@@ -68,7 +68,7 @@ def test_english_search(topics, make_queries):
     hits = found(
         make_queries({
             "both": "machine learning", "one": "learning", "stem": "network", "ing": "deploy", "stops": "is a artificial intelligence",
-            "db": "postgresql database", "none": "zxqv", "only stops": "the of and", "gold": "gold service number",
+            "db": "sqlite database", "none": "zxqv", "only stops": "the of and", "gold": "gold service number",
         }),
         topics,
     )
@@ -82,7 +82,7 @@ def test_english_search(topics, make_queries):
 def test_web_syntax(topics, make_queries):
     hits = found(
         make_queries({
-            "or": "kubernetes or postgresql", "OR": "kubernetes OR vector", "not": "learning -machine",
+            "or": "kubernetes or sqlite", "OR": "kubernetes OR vector", "not": "learning -machine",
             "phrase": '"machine learning"', "reversed": '"learning machine"', "gap": '"part of artificial"',
             "not phrase": 'learning -"deep learning"', "only not": "-flight", "or not": "kubernetes or -learning",
             "leading or": "or flight", "trailing or": "flight or",
