@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import lines, simhash
+import public_tokenizers
+
+from trawl.llm import langid, licenses, lines, pieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +45,27 @@ def simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), simhash.hex_of("fp").alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+@query("op6_language_spans")
+def language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = langid.fit(docs.where(~held_out))
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return langid.label(marked, model).select(
+        F.col("id").alias("doc_id"),
+        (F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+        F.col("lang").alias("lang_pred"), "score", F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+@query("op8_piece_agenda")
+def piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.digest_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.withColumnRenamed("id", "doc_id")
+
+
+@query("op10_license_index")
+def license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
