@@ -67,17 +67,17 @@ class WordMemo:
     word.  Beyond ``most`` words the memory starts anew, which changes no result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 300_000):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 700_000):
         self.encode, self.most = encode, most
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict = {}
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.counts = np.zeros(0, dtype=np.int64)
 
-    def places(self, words: list[str]) -> np.ndarray:
+    def places(self, words: list) -> np.ndarray:
         """The place of each word; new words are encoded first."""
         if len(self.index) > self.most:
             self.clear()
@@ -92,7 +92,7 @@ class WordMemo:
             self.counts = np.concatenate([self.counts, counts])
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def ids(self, words: list[str], per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, words: list, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many belong to each text when the
         texts have ``per_text`` words each."""
         place = self.places(words)

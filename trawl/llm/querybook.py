@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from trawl.llm import langid, licenses, lines, pieces, simhash
+from trawl.llm import langid, licenses, lines, pieces, repair, simhash
+from trawl.plans.lineage import checkpoint_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _folder(spark: SparkSession, kind: str) -> str:
+    """A new folder all executors share."""
+    return f"{checkpoint_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query("op1_repair_files")
+def repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "ids")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    repair.write_ids(_table(spark, sf_dir, "documents"), tokenizer, folder, end_id=1)
+    return repair.read_digests(spark, folder).select(
+        F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.col("crc32").alias("ids_crc32")
+    )
+
+
 @query("op4_line_cleaning")
 def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.clean_lines(_table(spark, sf_dir, "documents"))
