@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import langid, licenses, lines, pieces, repair, simhash
+from trawl.llm import decontam, langid, licenses, lines, pieces, repair, simhash, urlfilter
 from trawl.plans.lineage import checkpoint_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,35 @@ def repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+URL_SQL = """
+WITH cut AS (
+  SELECT page_id, row_number() OVER () AS row,
+         CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages
+), url AS (
+  SELECT page_id, row,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(rule, verdict) AS (
+  VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')
+), parts AS (
+  SELECT rule, verdict, split_part(rule, '/', 1) AS h, substr(rule, position('/' IN rule)) AS p FROM rules
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM url LEFT JOIN parts ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(rule) DESC NULLS LAST, rule DESC) = 1
+"""
+
+
+@query("op2_url_cascade", URL_SQL)
+def url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "rule string, verdict string")
+    return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
 @query("op4_line_cleaning")
 def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.clean_lines(_table(spark, sf_dir, "documents"))
@@ -85,3 +114,40 @@ def piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_index")
 def license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+LEAK_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
+), items AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS v FROM benchmark
+), tw AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS place FROM words),
+iw AS (SELECT item_id, len(v) AS m, unnest(v) AS word, unnest(range(len(v))) AS item_at FROM items),
+same AS (
+  SELECT doc_id, item_id, n, m, least(m, 20) AS length, place - item_at AS diagonal, item_at
+  FROM tw JOIN iw USING (word)
+), dense AS (
+  SELECT doc_id, item_id, diagonal, any_value(n) AS n, any_value(m) AS m, any_value(length) AS length, list(item_at) AS places
+  FROM same GROUP BY ALL HAVING count(*) >= 0.8 * any_value(length)
+), windows AS (
+  SELECT *, unnest(range(greatest(0, -diagonal), least(m, n - diagonal) - length + 1)) AS item_start FROM dense
+), counted AS (
+  SELECT doc_id, item_id, diagonal, item_start, length,
+         len(list_filter(places, lambda p: p >= item_start AND p < item_start + length)) AS same
+  FROM windows
+)
+SELECT doc_id, item_id, diagonal + item_start AS start_word, diagonal + item_start + length AS stop_word,
+       item_start, same AS n_same
+FROM counted WHERE same >= 0.8 * length
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY same DESC, diagonal + item_start, item_start) = 1
+"""
+
+
+@query("op9_spaced_seeds", LEAK_SQL)
+def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").cast("long").alias("start_word"),
+        F.col("stop").cast("long").alias("stop_word"), F.col("item_start").cast("long").alias("item_start"),
+        F.col("same").cast("long").alias("n_same"),
+    )
