@@ -27,6 +27,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.once import with_once
 from trawl.plans.lineage import materialize
 
 # Found by trying all substitutions of up to a fifth of 12 to 20 words.
@@ -41,7 +42,7 @@ BROADCAST_HASHES = 500_000
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def hashed(words: Column) -> Column:
@@ -84,24 +85,17 @@ class BitTable:
         return F.call_function("getbit", word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _best_window(text: Column, item: Column, diagonal: Column, length: Column) -> Column:
-    """The best stretch of ``length`` aligned words as struct(same, first):
-    words that are equal, and the item's word where it begins.
-
-    The aligned pairs run where both sides have words."""
-    first = F.greatest(F.lit(0), -diagonal)
-    stop = F.least(F.size(item), F.size(text) - diagonal)
-    equal = F.transform(
-        F.sequence(first, stop - 1), lambda k: F.when(F.get(item, k) == F.get(text, k + diagonal), 1).otherwise(0)
-    )
+def _best_stretch(equal: Column, first: Column, length: Column) -> Column:
+    """The best stretch of ``length`` aligned words as struct(same, minus_first):
+    how many are equal, and the item's word where it begins, negated."""
     windows = F.transform(
-        F.sequence(F.lit(0), stop - first - length),
+        F.sequence(F.lit(0), F.size(equal) - length),
         lambda a: F.struct(
             F.aggregate(F.slice(equal, a + 1, length), F.lit(0), lambda n, x: n + x).alias("same"),
             (-a - first).alias("minus_first"),
         ),
     )
-    return F.when(stop - first >= length, F.array_max(windows))
+    return F.when(F.size(equal) >= length, F.array_max(windows))
 
 
 def overlaps(
@@ -110,11 +104,9 @@ def overlaps(
 ) -> DataFrame:
     """(id, item, start, stop, item_start, length, same): per text and item the
     best overlap, in words from 0; ties go to the earliest in the text."""
-    items = materialize(
-        benchmark.select(
-            benchmark[item_column].cast("long").alias("item"), hashed(words_of(benchmark[item_text_column])).alias("item_words")
-        ).where("size(item_words) > 0").distinct()
-    )
+    given = benchmark.select(benchmark[item_column].cast("long").alias("item"), benchmark[item_text_column].alias("own_text"))
+    item_words = hashed(words_of(F.coalesce("own_text", F.lit(""))))
+    items = materialize(with_once(given, "item_words", item_words).drop("own_text").where("size(item_words) > 0").distinct())
     short = [n for (n,) in items.where(F.size("item_words") < SHORTEST).select(F.size("item_words")).distinct().collect()]
     masks = [*MASKS, *("1" * n for n in sorted(short))]
     # short items are hashed whole, others under the spaced masks
@@ -129,10 +121,9 @@ def overlaps(
         )
     table = BitTable(seeds, count)
 
-    hashes = texts.select(
-        texts[id_column].cast("long").alias("id"), hashed(words_of(texts[text_column].cast("string"))).alias("words")
-    )
-    candidates = hashes.withColumn("hits", F.filter(_seeds(F.col("words"), masks), lambda s: table.may_hold(s["seed"])))
+    narrow = texts.select(texts[id_column].cast("long").alias("id"), texts[text_column].cast("string").alias("own_text"))
+    hashes = with_once(narrow, "words", hashed(words_of(F.coalesce("own_text", F.lit(""))))).drop("own_text")
+    candidates = with_once(hashes, "hits", F.filter(_seeds(F.col("words"), masks), lambda s: table.may_hold(s["seed"])))
     # texts without a hit end here; the others are few and are kept with their words
     kept = materialize(candidates.where(F.size("hits") > 0).withColumn("row", F.xxhash64("id", "words")))
     hits = kept.select("id", "row", F.explode("hits").alias("s")).select("id", "row", F.col("s.at").alias("at"), "s.seed")
@@ -140,10 +131,18 @@ def overlaps(
     met = hits.join(side, "seed").select("id", "row", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     aligned = met.join(kept.select("row", "words").dropDuplicates(["row"]), "row")
     aligned = aligned.join(F.broadcast(items) if count <= BROADCAST_HASHES else items, "item")
-    length = F.least(F.size("item_words"), F.lit(WINDOW))
-    checked = aligned.withColumn("length", length).withColumn(
-        "best", _best_window(F.col("words"), F.col("item_words"), F.col("diagonal"), F.col("length"))
+    aligned = aligned.withColumns({
+        "length": F.least(F.size("item_words"), F.lit(WINDOW)),
+        "first": F.greatest(F.lit(0), -F.col("diagonal")),
+        "last": F.least(F.size("item_words"), F.size("words") - F.col("diagonal")) - 1,
+    })
+    # pairs run where both sides have words
+    pairs = F.transform(
+        F.sequence("first", "last"),
+        lambda k: F.when(F.get(F.col("item_words"), k) == F.get(F.col("words"), k + F.col("diagonal")), 1).otherwise(0),
     )
+    compared = with_once(aligned, "equal", pairs)
+    checked = with_once(compared, "best", _best_stretch(F.col("equal"), F.col("first"), F.col("length")))
     found = checked.where(F.col("best.same") >= SIMILAR * F.col("length"))
     start = F.col("diagonal") - F.col("best.minus_first")
     ranked = found.groupBy("id", "row", "item").agg(

@@ -29,6 +29,7 @@ from math import ceil, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.once import with_once
 from trawl.plans.lineage import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -141,12 +142,12 @@ def judge_urls(
     lengths = sorted(n for (n,) in listed.select(beginning.cast("int")).distinct().collect())
     host, path = host_and_path(rows[url_column])
     urls = rows.select(rows[id_column].alias("id"), host.alias("host"), path.alias("path"))
-    keyed = urls.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths))
+    keyed = with_once(urls, "keys", keys_of(F.col("host"), F.col("path"), lengths))
     rule_cascade = Cascade(listed, keyed.select(F.explode("keys").alias("key")))
     block_cascade = Cascade(listed.where("blocks"), listed)
     if rule_cascade.joined or block_cascade.joined:
         return _joined(keyed, listed, default)
-    found = keyed.withColumn("rule", _longest(F.filter("keys", rule_cascade.holds)))
+    found = with_once(keyed, "rule", _longest(F.filter("keys", rule_cascade.holds)))
     blocked = F.when(F.col("rule").isNull(), F.lit(default)).when(block_cascade.holds(F.col("rule")), "block")
     return found.select("id", "host", "path", "rule", blocked.otherwise("allow").alias("verdict"))
 
