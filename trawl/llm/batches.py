@@ -60,6 +60,19 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - shift, counts) + np.arange(total, dtype=np.int64)
 
 
+class _Numbered(dict):
+    """Gives every new key the next number and notes it."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key):
+        self.new.append(key)
+        number = self[key] = len(self)
+        return number
+
+
 class WordMemo:
     """Bounded memory of the ids of words, filled by ``encode`` in bulk.
 
@@ -67,12 +80,12 @@ class WordMemo:
     word.  Beyond ``most`` words the memory starts anew, which changes no result.
     """
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 700_000):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict = {}
+        self.index = _Numbered()
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.counts = np.zeros(0, dtype=np.int64)
@@ -81,16 +94,15 @@ class WordMemo:
         """The place of each word; new words are encoded first."""
         if len(self.index) > self.most:
             self.clear()
-        known = self.index
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        place = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        new, self.index.new = self.index.new, []
         if new:
             flat, counts = self.encode(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
             starts = np.cumsum(counts) - counts + len(self.flat)
             self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
             self.starts = np.concatenate([self.starts, starts])
             self.counts = np.concatenate([self.counts, counts])
-        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        return place
 
     def ids(self, words: list, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many belong to each text when the

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -237,7 +238,7 @@ class Checked:
         """Ids of each text with begin and end, and whether both ways agree."""
         cut = [self.merger.stretches(t) for t in texts]
         flat, counts = self.memo.ids(
-            [s for stretches in cut for s in stretches], np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+            list(chain.from_iterable(cut)), np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
         )
         ends = np.cumsum(counts)
         out, agrees = [], []

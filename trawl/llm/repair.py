@@ -22,6 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -153,16 +154,24 @@ class Grammar:
 # -- encoding -----------------------------------------------------------------
 
 
+def byte_letters() -> dict[int, str]:
+    """Byte -> the printable character that stands for it in byte-level
+    vocabularies: itself where it prints, else the next one from U+0100 on."""
+    prints = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """A tokenizer that drops white space and case, with a memory of words.
 
-    Words are what stands between ASCII blanks, A-Z lower-cased; a full stop or
-    comma after a letter stands alone, as it does for the tokenizer.  Words of
-    ASCII letters go to the tokenizer's model one by one; the others go
-    through the whole tokenizer, many in one string, told apart by offsets.
+    Words are what stands between ASCII blanks, A-Z lower-cased.  Words of
+    small Latin letters, with a full stop or comma at most, go to the
+    tokenizer's model one by one; the others go through the whole tokenizer,
+    many in one string, told apart by offsets.
     """
 
-    MARK = re.compile(rb"(?<=[a-z])[.,](?=\s|\Z)")
+    PLAIN = re.compile("[a-zß-öø-ÿ]+")
     TOGETHER = 2000
 
     def __init__(self, path: str):
@@ -172,16 +181,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.alphabet = self.tokenizer.get_vocab_size()
-        if self.tokenizer.encode("Ab. \n a b.", add_special_tokens=False).tokens[:2] != ["ab</w>", ".</w>"]:
-            raise ValueError("a tokenizer with word ends, without case and white space is needed")
+        self.letters = byte_letters()
+        self.model = self.tokenizer.model
+        self.marks = {m: self.tokenizer.token_to_id(m + "</w>") for m in ".,"}
+        sample = "Élan, vital. Été ab"
+        if [i for w in sample.lower().split() for i in self._plain(w)] != self.tokenizer.encode(sample, add_special_tokens=False).ids:
+            raise ValueError("a byte-level tokenizer with word ends, without case and white space is needed")
         self.memo = WordMemo(self._bulk)
 
+    def _plain(self, word: str) -> list[int] | None:
+        """The ids of a plain word, None for others."""
+        mark = self.marks.get(word[-1])
+        body = word if mark is None else word[:-1]
+        if not self.PLAIN.fullmatch(body):
+            return None
+        if not body.isascii():
+            body = body.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(body)]
+        return ids if mark is None else [*ids, mark]
+
     def _bulk(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [w.isalpha() for w in words]
-        model = self.tokenizer.model
-        ids = [[t.id for t in model.tokenize(w.decode())] for w, p in zip(words, plain) if p]
-        others = [w.decode() for w, p in zip(words, plain) if not p]
-        flats, counts = [np.array([i for x in ids for i in x], dtype=np.uint32)], [np.array([len(x) for x in ids], dtype=np.int64)]
+        texts = [w.decode() for w in words]
+        ids = list(map(self._plain, texts))
+        plain = np.fromiter((x is not None for x in ids), dtype=bool, count=len(ids))
+        others = [t for t, x in zip(texts, ids) if x is None]
+        ids = [x for x in ids if x is not None]
+        flats = [np.fromiter(chain.from_iterable(ids), dtype=np.uint32)]
+        counts = [np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))]
         for first in range(0, len(others), self.TOGETHER):
             some = others[first : first + self.TOGETHER]
             coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -190,18 +216,16 @@ class Encoder:
             flats.append(np.array(coded.ids, dtype=np.uint32))
             counts.append(np.bincount(np.searchsorted(ends, begins, side="right"), minlength=len(some)))
         # back from plain words first to the order given
-        count, order = np.concatenate(counts), np.argsort(~np.array(plain, dtype=bool), kind="stable")
-        starts = np.empty(len(words), dtype=np.int64)
-        starts[order] = np.cumsum(count) - count
-        given = np.empty(len(words), dtype=np.int64)
-        given[order] = count
+        count, order = np.concatenate(counts), np.argsort(~plain, kind="stable")
+        starts, given = np.empty(len(words), dtype=np.int64), np.empty(len(words), dtype=np.int64)
+        starts[order], given[order] = np.cumsum(count) - count, count
         return np.concatenate(flats)[ragged(starts, given)], given
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        found = [self.MARK.sub(rb" \g<0>", t.encode().lower()).split() for t in texts]
+        found = [t.encode().lower().split() for t in texts]
         per_text = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return self.memo.ids([w for words in found for w in words], per_text)
+        return self.memo.ids(list(chain.from_iterable(found)), per_text)
 
 
 @lru_cache(maxsize=2)
