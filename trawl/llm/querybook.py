@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, langid, licenses, lines, pieces, repair, simhash, urlfilter
+from trawl.llm import decontam, langid, licenses, lines, pieces, repair, simhash, units, urlfilter, warc
 from trawl.plans.lineage import checkpoint_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,28 @@ def url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+WARC_SQL = """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), latest AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS newest FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN newest <> page_id THEN newest END AS refers_to
+FROM latest
+"""
+
+
+@query("op3_warc_chunks", WARC_SQL)
+def warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "warc")
+    warc.write_archive(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("op4_line_cleaning")
 def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.clean_lines(_table(spark, sf_dir, "documents"))
@@ -105,6 +127,15 @@ def language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_repeated_units")
+def repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = units.repeated_units(_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "start", "stop", F.concat(simhash.hex_of("high"), simhash.hex_of("low")).alias("digest"),
+        F.col("kept_id").alias("kept_doc_id"), "kept_start",
+    )
+
+
 @query("op8_piece_agenda")
 def piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.digest_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
