@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Texts of one working slice, in bytes; a longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -51,6 +52,32 @@ def per_text(rows: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: st
     return rows.mapInArrow(run, schema)
 
 
+def appended(rows: DataFrame, text_column: str, work: Callable[[list[str]], dict], extra: str) -> DataFrame:
+    """All columns of the rows, and what ``work`` makes of their texts.
+
+    ``extra`` is the schema of the new columns; one whose name is taken gets
+    underscores in front until it is free.
+    """
+    fields = []
+    for field in T._parse_datatype_string(extra).fields:
+        name = field.name
+        while name.lower() in {c.lower() for c in rows.columns}:
+            name = f"_{name}"
+        fields.append(T.StructField(name, field.dataType))
+    place = rows.columns.index(text_column)
+    names = [f.name for f in T._parse_datatype_string(extra).fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shown = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+            for piece in slices([shown], f"c{place}"):
+                made = work(filled(piece.column(place)))
+                columns = [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n]) for n in names]
+                yield pa.RecordBatch.from_arrays([*piece.columns, *columns], [*batch.schema.names, *(f.name for f in fields)])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields]))
+
+
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Positions starts[i] .. starts[i] + counts[i] - 1 for all i, in a row."""
     total = int(counts.sum())

@@ -102,8 +102,9 @@ def overlaps(
     texts: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     item_column: str = "item_id", item_text_column: str = "text",
 ) -> DataFrame:
-    """(id, item, start, stop, item_start, length, same): per text and item the
-    best overlap, in words from 0; ties go to the earliest in the text."""
+    """(id, tag, item, start, stop, item_start, length, same): per text and item the
+    best overlap, in words from 0; ties go to the earliest in the text.
+    ``tag`` is the text's hash."""
     given = benchmark.select(benchmark[item_column].cast("long").alias("item"), benchmark[item_text_column].alias("own_text"))
     item_words = hashed(words_of(F.coalesce("own_text", F.lit(""))))
     items = materialize(with_once(given, "item_words", item_words).drop("own_text").where("size(item_words) > 0").distinct())
@@ -117,19 +118,20 @@ def overlaps(
     count = seeds.count()
     if not count:
         return texts.sparkSession.createDataFrame(
-            [], "id long, item long, start int, stop int, item_start int, length int, same int"
+            [], "id long, tag long, item long, start int, stop int, item_start int, length int, same int"
         )
     table = BitTable(seeds, count)
 
-    narrow = texts.select(texts[id_column].cast("long").alias("id"), texts[text_column].cast("string").alias("own_text"))
+    own = texts[text_column].cast("string")
+    narrow = texts.select(texts[id_column].cast("long").alias("id"), F.xxhash64(own).alias("tag"), own.alias("own_text"))
     hashes = with_once(narrow, "words", hashed(words_of(F.coalesce("own_text", F.lit(""))))).drop("own_text")
     candidates = with_once(hashes, "hits", F.filter(_seeds(F.col("words"), masks), lambda s: table.may_hold(s["seed"])))
     # texts without a hit end here; the others are few and are kept with their words
-    kept = materialize(candidates.where(F.size("hits") > 0).withColumn("row", F.xxhash64("id", "words")))
+    kept = materialize(candidates.where(F.size("hits") > 0).withColumn("row", F.xxhash64("id", "tag")))
     hits = kept.select("id", "row", F.explode("hits").alias("s")).select("id", "row", F.col("s.at").alias("at"), "s.seed")
     side = F.broadcast(seeds) if count <= BROADCAST_HASHES else seeds
     met = hits.join(side, "seed").select("id", "row", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
-    aligned = met.join(kept.select("row", "words").dropDuplicates(["row"]), "row")
+    aligned = met.join(kept.select("row", "tag", "words").dropDuplicates(["row"]), "row")
     aligned = aligned.join(F.broadcast(items) if count <= BROADCAST_HASHES else items, "item")
     aligned = aligned.withColumns({
         "length": F.least(F.size("item_words"), F.lit(WINDOW)),
@@ -145,12 +147,24 @@ def overlaps(
     checked = with_once(compared, "best", _best_stretch(F.col("equal"), F.col("first"), F.col("length")))
     found = checked.where(F.col("best.same") >= SIMILAR * F.col("length"))
     start = F.col("diagonal") - F.col("best.minus_first")
-    ranked = found.groupBy("id", "row", "item").agg(
+    ranked = found.groupBy("id", "row", "tag", "item").agg(
         F.max(
             F.struct(F.col("best.same").alias("same"), (-start).alias("minus_start"), F.col("best.minus_first").alias("minus_first"), "length")
         ).alias("b")
     )
     return ranked.select(
-        "id", "item", (-F.col("b.minus_start")).alias("start"), (F.col("b.length") - F.col("b.minus_start")).alias("stop"),
+        "id", "tag", "item", (-F.col("b.minus_start")).alias("start"), (F.col("b.length") - F.col("b.minus_start")).alias("stop"),
         (-F.col("b.minus_first")).alias("item_start"), F.col("b.length").alias("length"), F.col("b.same").alias("same"),
     )
+
+
+def without_overlaps(
+    rows: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    item_column: str = "item_id", item_text_column: str = "text",
+) -> DataFrame:
+    """The rows, all columns kept, whose text overlaps with no benchmark item."""
+    own = "_leak_"
+    found = overlaps(rows, benchmark, id_column, text_column, item_column, item_text_column)
+    found = found.select(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag")).distinct()
+    same = rows[id_column].cast("long").eqNullSafe(F.col(own + "id"))
+    return rows.join(found, same & (F.xxhash64(rows[text_column].cast("string")) == F.col(own + "tag")), "left_anti")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.batches import filled, narrowed, slices
+from trawl.llm.batches import appended, filled, narrowed, slices
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
@@ -232,3 +232,18 @@ def label(
     return narrowed(rows, id_column, text_column).mapInArrow(
         run, "id long, lang string, score double, spans array<struct<start: int, stop: int, lang: string>>"
     )
+
+
+def in_one_language(
+    rows: DataFrame, model: Model, text_column: str = "text", min_share: float = 0.5, penalty: float = PENALTY
+) -> DataFrame:
+    """The rows, all columns kept, whose text has letters and one language with
+    at least ``min_share`` of them."""
+
+    def work(texts: list[str]) -> dict:
+        found = _label(texts, model, penalty)
+        return {"held": [lang != UNKNOWN and s >= min_share for lang, s in zip(found["lang"], found["score"])]}
+
+    judged = appended(rows, text_column, work, "held boolean")
+    verdict = judged.columns[-1]
+    return judged.where(F.col(verdict)).drop(verdict)

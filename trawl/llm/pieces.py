@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from trawl.llm.batches import WordMemo, filled, narrowed, per_text, ragged
+from trawl.llm.batches import WordMemo, appended, filled, narrowed, per_text, ragged
 
 BLANK = "▁"
 #: Symbols of stretches merged side by side, at most; a longer one goes alone.
@@ -285,3 +285,19 @@ def digest_texts(rows: DataFrame, model: str, id_column: str = "doc_id", text_co
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
     return per_text(narrowed(rows, id_column, text_column), work, schema)
+
+
+def with_ids(rows: DataFrame, model: str, text_column: str = "text") -> DataFrame:
+    """The rows, all columns kept, with n_tokens, ids, and whether decoding
+    gives the text back (``round_trip``)."""
+
+    def work(texts: list[str]) -> dict:
+        coder = checked(model)
+        ids, _ = coder.encode(texts)
+        back = [coder.library.decode(x.tolist()) == t for x, t in zip(ids, texts)]
+        return {
+            "n_tokens": pa.array(list(map(len, ids)), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())),
+            "round_trip": pa.array(back, pa.bool_()),
+        }
+
+    return appended(rows, text_column, work, "n_tokens long, ids array<int>, round_trip boolean")

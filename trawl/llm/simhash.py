@@ -13,6 +13,11 @@ spanning forest of its links, never its pairs.  A group beyond ``group`` rows
 is not verified in one task but dealt anew by further bits, again by
 pigeonhole, until it is small.
 
+One lane of 64 bits is the usual fingerprint.  With more lanes, hashed anew
+from the same shingles, fingerprints estimate similarity more sharply: ``bits``
+then bounds the difference over all lanes, some lane differs in at most its
+share of them, and each lane is probed with that.
+
 Null and empty texts have fingerprint zero.  Repeated rows each get a row.  A
 null id never becomes a component id unless the whole component lacks ids.  An
 empty table gives an empty result; further columns are ignored.
@@ -48,58 +53,84 @@ PAIR_COST = 4e-9
 # -- fingerprints -----------------------------------------------------------
 
 
-def fingerprint(text: str, words: int = 4) -> int:
-    """Majority bits of the hashes of all ``words``-word shingles."""
+def shingle_hashes(text: str, words: int) -> list[int]:
+    """Hashes of all ``words``-word shingles, repeats included; of the whole
+    sequence where it is shorter."""
     tokens = text.encode().lower().split()
     if not tokens:
-        return 0
+        return []
     joined = b" ".join(tokens)
     digest = xxhash.xxh64_intdigest
     if len(tokens) <= words:
-        return digest(joined, SEED)
+        return [digest(joined, SEED)]
     ends = np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1)
     starts = [0, *ends[: len(tokens) - words].tolist()]
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())]
-    return _majority(hashes)
+    return [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())]
+
+
+def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """Lane 0 takes the hashes as they are, each further one mixes them anew."""
+    if lane:
+        hashes = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) & (1 << WIDTH) - 1)
+        hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashes = (hashes ^ (hashes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        hashes = hashes ^ (hashes >> np.uint64(31))
+    return hashes
+
+
+def fingerprint(text: str, words: int = 4, lanes: int = 1) -> list[int]:
+    """Majority bits of the shingles' hashes, a number for each lane."""
+    hashes = np.array(shingle_hashes(text, words), dtype="<u8")
+    ones = np.zeros((lanes, WIDTH), dtype=np.int64)
+    for first in range(0, len(hashes), 1 << 16):
+        for lane in range(lanes):
+            octets = _mixed(hashes[first : first + (1 << 16)], lane).view(np.uint8).reshape(-1, 8)
+            ones[lane] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
-def _majority(hashes: list[int], block: int = 1 << 16) -> int:
-    ones = np.zeros(WIDTH, dtype=np.int64)
-    for first in range(0, len(hashes), block):
-        octets = np.array(hashes[first : first + block], dtype="<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+def lane_names(lanes: int) -> list[str]:
+    return ["fp", *(f"fp{i}" for i in range(1, lanes))]
 
 
-def fingerprints(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4) -> DataFrame:
-    """(id, fp) per row; fp holds the 64 bits as a signed long."""
+def marks_of(texts: list[str], words: int, lanes: int) -> dict[str, pa.Array]:
+    marks = np.array([fingerprint(t, words, lanes) for t in texts], dtype=np.uint64).reshape(-1, lanes)
+    return {name: pa.array(np.ascontiguousarray(marks[:, i]).view(np.int64)) for i, name in enumerate(lane_names(lanes))}
+
+
+def fingerprints(
+    rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4, lanes: int = 1
+) -> DataFrame:
+    """(id, tag, fp, fp1 ..) per row; a lane holds 64 bits as a signed long, tag is the text's hash."""
 
     def work(batch: pa.RecordBatch) -> dict:
-        marks = np.array([fingerprint(t, words) for t in filled(batch.column("text"))], dtype=np.uint64)
-        return {"id": batch.column("id"), "fp": pa.array(marks.view(np.int64))}
+        return {"id": batch.column("id"), "tag": batch.column("tag")} | marks_of(filled(batch.column("text")), words, lanes)
 
-    return per_text(narrowed(rows, id_column, text_column), work, "id long, fp long")
+    tagged = narrowed(rows, id_column, text_column).withColumn("tag", F.xxhash64("text"))
+    return per_text(tagged, work, "id long, tag long, " + ", ".join(f"{name} long" for name in lane_names(lanes)))
 
 
 # -- parts and thresholds ---------------------------------------------------
 
 
-def bit_counts(marks: DataFrame) -> np.ndarray:
-    """How many of all fingerprints have bits i and j set, as a 64 x 64 table."""
+def bit_counts(marks: DataFrame, lanes: int = 1) -> np.ndarray:
+    """How many of all fingerprints have bits i and j set, as a 64 x 64 table for each lane."""
+    names = lane_names(lanes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((WIDTH, WIDTH), dtype=np.int64)
+        total = np.zeros((lanes, WIDTH, WIDTH), dtype=np.int64)
         for batch in batches:
-            octets = np.ascontiguousarray(batch.column("fp").to_numpy(zero_copy_only=False)).view(np.uint8).reshape(-1, 8)
-            for first in range(0, len(octets), 1 << 16):
-                bits = np.unpackbits(octets[first : first + (1 << 16)], axis=1, bitorder="little").astype(np.float32)
-                total += (bits.T @ bits).astype(np.int64)
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(WIDTH * WIDTH)), "n": pa.array(total.ravel())})
-
-    table = np.zeros(WIDTH * WIDTH)
-    for cell, n in marks.select("fp").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+            for lane in range(lanes):
+                octets = np.ascontiguousarray(batch.column(lane).to_numpy(zero_copy_only=False)).view(np.uint8).reshape(-1, 8)
+                for first in range(0, len(octets), 1 << 16):
+                    bits = np.unpackbits(octets[first : first + (1 << 16)], axis=1, bitorder="little").astype(np.float32)
+                    total[lane] += (bits.T @ bits).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(total.size)), "n": pa.array(total.ravel())})
+
+    table = np.zeros(lanes * WIDTH * WIDTH)
+    for cell, n in marks.select(*names).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
         table[cell] = n
-    return table.reshape(WIDTH, WIDTH)
+    return table.reshape(lanes, WIDTH, WIDTH)
 
 
 def _differences(table: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,16 +241,21 @@ def _forest(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
     return root
 
 
+def _apart(marks: np.ndarray, a, b) -> np.ndarray:
+    """Differing bits over all lanes; marks is (lanes, rows)."""
+    return np.bitwise_count(marks[:, a] ^ marks[:, b]).sum(axis=0, dtype=np.int16)
+
+
 def _searched(marks: np.ndarray, bits: int) -> np.ndarray:
     """Roots within one large group: a search that takes found ones out."""
-    root = np.arange(len(marks))
-    left = np.arange(len(marks))
+    root = np.arange(marks.shape[1])
+    left = np.arange(marks.shape[1])
     while len(left):
         first, left = left[0], left[1:]
         queue = [first]
         while queue and len(left):
             at = queue.pop()
-            near = np.bitwise_count(marks[left] ^ marks[at]) <= bits
+            near = _apart(marks, left, [at]) <= bits
             found = left[near]
             root[found] = first
             queue.extend(found.tolist())
@@ -237,110 +273,146 @@ def _linked(group: np.ndarray, marks: np.ndarray, bits: int) -> tuple[np.ndarray
     at, shift = np.flatnonzero(small), 1
     while len(at):
         at = at[at + shift < ends[at]]
-        near = at[np.bitwise_count(marks[at] ^ marks[at + shift]) <= bits]
+        near = at[_apart(marks, at, at + shift) <= bits]
         a.append(near)
         b.append(near + shift)
         shift += 1
-    root = _forest(np.concatenate(a), np.concatenate(b), len(marks))
+    root = _forest(np.concatenate(a), np.concatenate(b), len(group))
     for first, size in zip(starts[sizes > SHIFTED].tolist(), sizes[sizes > SHIFTED].tolist()):
-        root[first : first + size] = first + _searched(marks[first : first + size], bits)
+        root[first : first + size] = first + _searched(marks[:, first : first + size], bits)
     linked = np.flatnonzero(root != np.arange(len(root)))
     return linked, root[linked]
 
 
-def _verify(bits: int, group_rows: int):
-    """Sorted (mask, value, fp) rows -> spanning links, and probes of groups
-    that are too large, dealt anew by further bits."""
+def _verify(bits: int, share: int, group_rows: int, lanes: int):
+    """Sorted (lane, mask, value, node, fp ..) rows -> spanning links of nodes,
+    and probes of groups that are too large, dealt anew by further bits.
 
-    def deal(mask: int, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        rest = [i for i in range(WIDTH) if not mask >> i & 1]
-        for piece in np.array_split(np.array(rest, dtype=np.int64), bits + 1):
-            wider = mask | sum(1 << int(i) for i in piece)
-            yield np.full(len(marks), _signed(wider), dtype=np.int64), marks
+    ``share`` is how many bits the probed lane may differ in, ``bits`` all lanes."""
+    names = ["kind", "x", "y", "lane", *lane_names(lanes)]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * lanes]
 
-    def batch_of(kind: str, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(x), pa.string()), "x": pa.array(x), "y": pa.array(y)})
+    def out(kind: str, x: np.ndarray, y: np.ndarray, lane: int | None = None, marks: np.ndarray | None = None) -> pa.RecordBatch:
+        n = len(x)
+        held = [pa.nulls(n, pa.int64())] * lanes if marks is None else [pa.array(m.view(np.int64)) for m in marks]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([kind] * n, kinds[0]), pa.array(x, kinds[1]), pa.array(y, kinds[2]), pa.array([lane] * n, kinds[3]), *held], names
+        )
+
+    def dealt_anew(key: np.ndarray, node: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+        lane, mask = int(key[0]), int(key[1]) & (1 << WIDTH) - 1
+        rest = [i for i in range(WIDTH) if not mask >> i & 1]
+        for piece in np.array_split(np.array(rest, dtype=np.int64), min(share + 1, len(rest))):
+            wider = _signed(mask | sum(1 << int(i) for i in piece))
+            yield out("probe", np.full(len(node), wider, dtype=np.int64), node, lane, marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = [np.zeros(0, dtype=np.int64)] * 3
-        large = None  # the (mask, value) that is being dealt anew
-
-        def send(mask: int, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
-            if WIDTH - (mask & (1 << WIDTH) - 1).bit_count() <= bits:  # all are close to each other
-                yield batch_of("link", marks, np.full(len(marks), first_mark, dtype=np.int64))
-            else:
-                for masks, all_marks in deal(mask & (1 << WIDTH) - 1, marks):
-                    yield batch_of("probe", masks, all_marks)
-
-        def links(mask, value, mark) -> Iterator[pa.RecordBatch]:
-            if len(mark) > 1:
-                change = np.r_[False, (mask[1:] != mask[:-1]) | (value[1:] != value[:-1])]
-                a, b = _linked(np.cumsum(change), mark.view(np.uint64), bits)
+        held = [np.zeros(0, dtype=np.int64)] * (4 + lanes)
+        large = None  # the key that is being dealt anew
+
+        def links(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            keys = rows[:3]
+            if len(keys[0]) > 1:
+                change = np.r_[False, np.any([k[1:] != k[:-1] for k in keys], axis=0)]
+                a, b = _linked(np.cumsum(change), np.stack(rows[4:]).view(np.uint64), bits)
                 if len(a):
-                    yield batch_of("link", mark[a], mark[b])
+                    yield out("link", rows[3][a], rows[3][b])
 
         for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            mask, value, mark = (np.concatenate([k, n]) for k, n in zip(keep, new))
-            if large and len(mask):
-                same = (mask == large[0]) & (value == large[1])
+            new = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4 + lanes)]
+            rows = [np.concatenate([k, n]) for k, n in zip(held, new)]
+            if large is not None and len(rows[0]):
+                same = np.all([r == k for r, k in zip(rows, large)], axis=0)
                 if same.any():
-                    yield from send(int(large[0]), mark[same])
-                    mask, value, mark = mask[~same], value[~same], mark[~same]
-                if len(mask):
+                    yield from dealt_anew(large, rows[3][same], np.stack([r[same] for r in rows[4:]]))
+                    rows = [r[~same] for r in rows]
+                if len(rows[0]):
                     large = None
-            if len(mask):
-                tail = int(np.argmax((mask == mask[-1]) & (value == value[-1])))
-                yield from links(mask[:tail], value[:tail], mark[:tail])
-                mask, value, mark = mask[tail:], value[tail:], mark[tail:]
-                if len(mark) > group_rows:
-                    large, first_mark = (mask[0], value[0]), mark[0]
-                    yield from send(int(mask[0]), mark)
-                    mask, value, mark = mask[:0], value[:0], mark[:0]
-            keep = [mask, value, mark]
-        yield from links(*keep)
-
-    return run
-
-
-def links(marks: DataFrame, bits: int = 4, group: int = GROUP) -> DataFrame:
-    """Distinct ``fp`` -> (a, b): links that join all fingerprints within ``bits``."""
-    spark = marks.sparkSession
+            if len(rows[0]):
+                last = [r[-1] for r in rows[:3]]
+                tail = int(np.argmax(np.all([r == k for r, k in zip(rows, last)], axis=0)))
+                yield from links([r[:tail] for r in rows])
+                rows = [r[tail:] for r in rows]
+                if len(rows[0]) > group_rows and int(last[1]) != -1:
+                    large = np.array(last)
+                    yield from dealt_anew(large, rows[3], np.stack(rows[4:]))
+                    rows = [r[:0] for r in rows]
+            held = rows
+        yield from links(held)
+
+    return run, ", ".join(f"{n} {k}" for n, k in zip(names, ["string", "long", "long", "int", *["long"] * lanes]))
+
+
+def links(marks: DataFrame, bits: int = 4, group: int = GROUP, lanes: int = 1) -> DataFrame:
+    """Distinct (node, fp ..) -> (a, b): links that join all nodes whose
+    fingerprints differ in ``bits`` bits or fewer."""
+    names = lane_names(lanes)
     count = marks.count()
     if count < 2:
-        return spark.createDataFrame([], "a long, b long")
-    probes = masks_of(allocate(bit_counts(marks), count, bits))
-    rows = marks.select(F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in probes])).alias("mask"), "fp")
+        return marks.sparkSession.createDataFrame([], "a long, b long")
+    share = bits // lanes
+    tables = bit_counts(marks, lanes)
+    probes = [(lane, _signed(m)) for lane in range(lanes) for m in masks_of(allocate(tables[lane], count, share))]
+    laid = F.explode(F.array(*[F.struct(F.lit(lane).alias("lane"), F.lit(m).cast("long").alias("mask")) for lane, m in probes]))
+    rows = marks.select(laid.alias("probe"), "node", *names).select("probe.*", "node", *names)
+    probed = F.get(F.array(*names), F.col("lane"))
+    verify, schema = _verify(bits, share, group, lanes)
     found = None
     while True:
-        keyed = rows.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("value"), "fp")
+        keyed = rows.select("lane", "mask", F.col("mask").bitwiseAND(probed).alias("value"), "node", *names)
         met = materialize(
-            keyed.repartition("mask", "value")
-            .sortWithinPartitions("mask", "value", "fp")
-            .mapInArrow(_verify(bits, group), "kind string, x long, y long")
+            keyed.repartition("lane", "mask", "value").sortWithinPartitions("lane", "mask", "value").mapInArrow(verify, schema)
         )
         new = met.where("kind = 'link'").select(F.col("x").alias("a"), F.col("y").alias("b"))
         found = new if found is None else found.union(new)
-        rows = met.where("kind = 'probe'").select(F.col("x").alias("mask"), F.col("y").alias("fp")).distinct()
-        if rows.isEmpty():
+        again = met.where("kind = 'probe'")
+        if again.isEmpty():
             return found
+        rows = again.select("lane", F.col("x").alias("mask"), F.col("y").alias("node"), *names).distinct()
+
+
+def classes(marked: DataFrame, bits: int, group: int = GROUP, lanes: int = 1) -> DataFrame:
+    """(id, fp ..) -> (fp .., component), one row per distinct fingerprint."""
+    names = lane_names(lanes)
+    node = F.col("fp") if lanes == 1 else F.xxhash64(*names)
+    distinct = materialize(marked.groupBy(*names).agg(F.min("id").alias("least")).withColumn("node", node))
+    roots = components(links(distinct.select("node", *names), bits, group, lanes))
+    rooted = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    return rooted.join(smallest, "root").select(*names, "root", "component")
 
 
 def near_duplicates(
-    rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4, bits: int = 4, group: int = GROUP
+    rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4, bits: int = 4,
+    group: int = GROUP, lanes: int = 1,
 ) -> DataFrame:
-    """(id, fp, component): component is the smallest id reachable by links."""
-    marked = materialize(fingerprints(rows, id_column, text_column, words))
-    return marked.join(classes(marked, bits, group), "fp").select("id", "fp", "component")
+    """(id, tag, fp, root, component): component is the smallest id reachable
+    by links, root a name for it that is never null, tag the text's hash."""
+    marked = materialize(fingerprints(rows, id_column, text_column, words, lanes))
+    found = marked.join(classes(marked, bits, group, lanes), lane_names(lanes))
+    return found.select("id", "tag", "fp", "root", "component")
 
 
-def classes(marked: DataFrame, bits: int, group: int = GROUP) -> DataFrame:
-    """(id, fp) -> (fp, component), one row per distinct fingerprint."""
-    distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(distinct.select("fp"), bits, group)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return rooted.join(smallest, "root").select("fp", "component")
+def one_of_each(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
+    """The rows, all columns kept, with one row of each component: the one
+    with the smallest id, nulls last, then the smallest hash of its text.
+    Rows that have both in common are one document, of which any one row stays.
+    """
+    found = near_duplicates(rows, id_column, text_column, **how)
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "tag")
+    best = found.groupBy("root").agg(F.min(order).alias("best")).select("best.id", "best.tag")
+    own = "_simhash_"
+    best = best.select(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag"))
+    key = [rows[id_column].cast("long").eqNullSafe(F.col(own + "id")), F.xxhash64(rows[text_column].cast("string")) == F.col(own + "tag")]
+    kept = rows.join(best, key[0] & key[1])
+    # equal rows that stay are told apart after all others are gone
+    again = found.groupBy("id", "tag").count().where("count > 1")
+    again = again.select(F.col("id").alias(own + "id2"), F.col("tag").alias(own + "tag2"))
+    twice = kept.join(again, F.col(own + "id").eqNullSafe(F.col(own + "id2")) & (F.col(own + "tag") == F.col(own + "tag2")), "left")
+    columns = [rows[c] for c in rows.columns]
+    single = twice.where(F.col(own + "tag2").isNull()).select(*columns)
+    several = twice.where(F.col(own + "tag2").isNotNull()).dropDuplicates([own + "id", own + "tag"]).select(*columns)
+    return single.unionAll(several)
 
 
 def hex_of(column) -> F.Column:

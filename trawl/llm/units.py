@@ -118,3 +118,15 @@ def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", t
     cut = F.when(spots.isNull(), text).otherwise(left).alias(text_column)
     columns = [cut if c == text_column else rows[c] for c in rows.columns]
     return joined.select(*columns, F.when(spots.isNull(), whole).otherwise(kept).alias("kept_spans"))
+
+
+def without_repeats(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", size_column: str | None = None) -> DataFrame:
+    """The rows, all columns kept, without their repeated units; texts of which
+    nothing but blanks is left go.  ``size_column`` is set to the new length."""
+    cut = remove_spans(rows, repeated_units(rows, id_column, text_column), id_column, text_column).drop("kept_spans")
+    text = F.col(text_column)
+    changed = cut.where(text.isNull() | (F.length(F.trim(text)) > 0) | (F.length(text) == 0))
+    if size_column in rows.columns:
+        kind = rows.schema[size_column].dataType
+        changed = changed.withColumn(size_column, F.when(text.isNull(), F.col(size_column)).otherwise(F.length(text)).cast(kind))
+    return changed
