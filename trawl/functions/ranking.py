@@ -86,7 +86,7 @@ def text_rank(hits: Column, lexemes: Column, conjunction: Column) -> Column:
 
 
 def text_score(raw: Column) -> Column:
-    return F.round(F.least(F.lit(1.0), raw * TEXT_SCALE), 6)
+    return F.least(F.lit(1.0), raw * TEXT_SCALE)
 
 
 def share_of_one(raw: Column) -> Column:

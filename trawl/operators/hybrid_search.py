@@ -35,11 +35,10 @@ def hybrid_scores(
     kind: str | Analyzer = "english",
     index: DataFrame | None = None,
     frequencies: DataFrame | None = None,
+    index_covers_all: bool = False,
 ) -> DataFrame:
     """(query_id, id, vec_score, text_score, score) of every text match.
 
-    ``index`` holds the postings of exactly these chunks.
-
     A match without a vector keeps its text part.  ``vec_score`` stays NULL.
     """
     check_weight(vector_weight)
@@ -47,7 +46,7 @@ def hybrid_scores(
     matches = materialize(
         text_matches(
             queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies,
-            filtered=False,
+            index_covers_all=index_covers_all,
         )
     )
     asked = queries.select(
@@ -82,6 +81,7 @@ def hybrid_search(
     kind: str | Analyzer = "english",
     index: DataFrame | None = None,
     frequencies: DataFrame | None = None,
+    index_covers_all: bool = False,
     payload: bool = True,
 ) -> DataFrame:
     """Weighted vector and text score of the text matches, best ``k`` first.
@@ -94,7 +94,7 @@ def hybrid_search(
     scored = hybrid_scores(
         queries, chunks,
         vector_weight=vector_weight, text_weight=text_weight,
-        syntax=syntax, kind=kind, index=index, frequencies=frequencies,
+        syntax=syntax, kind=kind, index=index, frequencies=frequencies, index_covers_all=index_covers_all,
     )
     answered = materialize(cut(top_k(scored, k), threshold).withColumn("strategy", F.lit("hybrid")))
     open_queries = queries.select(F.col("query_id").cast("string").alias("query_id"), "query").join(

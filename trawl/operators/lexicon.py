@@ -1,27 +1,25 @@
 """From texts to lexemes with positions.
 
 Two analyzers: ``simple`` takes lower-case words as they are, ``english`` drops
-stop words (their positions stay counted) and stems.  Stemming runs once per
-distinct word: the vocabulary is gathered with a map-side combine, stemmed in
-Arrow batches and joined back.
+stop words (their positions stay counted) and stems.  All words of a text are
+in one row, so postings are made where the text is read: each Arrow batch stems
+its distinct words once and groups positions, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.stemming import STOP_WORDS, english_stem
+from trawl.functions.stemming import STOP_WORDS, english_stem, stem_word
 from trawl.functions.text import words
-from trawl.plans.lineage import materialize
 from trawl.plans.sizing import join_checked
 
-# The largest word position, and the positions kept per lexeme.
-LAST_POSITION = 16383
-POSITIONS_PER_LEXEME = 256
-
 
 @dataclass(frozen=True)
 class Analyzer:
@@ -34,6 +32,12 @@ class Analyzer:
         kept = vocabulary.where(~F.col("word").isin(*self.stop_words)) if self.stop_words else vocabulary
         return kept.withColumn("lexeme", english_stem("word") if self.stems else F.col("word"))
 
+    def lexeme(self, word: str) -> str | None:
+        """The lexeme of one word, None for a stop word."""
+        if word in self.stop_words:
+            return None
+        return stem_word(word) if self.stems else word
+
 
 SIMPLE = Analyzer("simple")
 ENGLISH = Analyzer("english", STOP_WORDS, stems=True)
@@ -50,52 +54,61 @@ def analyzer(name: str | Analyzer) -> Analyzer:
 
 def occurrences(texts: DataFrame, text: str = "text", key: str = "id") -> DataFrame:
     """(key, pos, word) for every word of every text; positions from 1."""
-    return texts.select(key, F.posexplode(words(F.col(text))).alias("pos", "word")).withColumn(
-        "pos", F.least(F.col("pos") + 1, F.lit(LAST_POSITION))
-    )
-
-
-def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
-    """The distinct words of the texts."""
-    return texts.select(F.explode(F.array_distinct(words(F.col(text)))).alias("word")).distinct()
-
-
-def _positions(hits: DataFrame) -> DataFrame:
-    """Group (id, lexeme, pos) rows; one shuffle, on the id alone."""
-    return (
-        hits.repartition("id")
-        .groupBy("id", "lexeme")
-        .agg(F.sort_array(F.collect_set("pos")).alias("positions"))
-        .withColumn("positions", F.slice("positions", 1, POSITIONS_PER_LEXEME))
-    )
+    return texts.select(key, F.posexplode(words(F.col(text))).alias("pos", "word")).withColumn("pos", F.col("pos") + 1)
+
+
+def _grouped(kind: Analyzer):
+    """An Arrow kernel from (id, words) to (id, lexeme, positions)."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(1)
+            flat = held.flatten().dictionary_encode()
+            number: dict[str, int] = {}
+            found = [kind.lexeme(w) for w in flat.dictionary.to_pylist()]
+            of_word = np.array([-1 if x is None else number.setdefault(x, len(number)) for x in found] or [-1])
+            lexeme = of_word[flat.indices.to_numpy(zero_copy_only=False)]
+            sizes = np.diff(held.offsets.to_numpy())
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+            kept = lexeme >= 0
+            lexeme, row, pos = lexeme[kept], row[kept], pos[kept]
+            # stable: positions of a lexeme stay in order
+            order = np.argsort(row * (len(number) + 1) + lexeme, kind="stable")
+            lexeme, row, pos = lexeme[order], row[order], pos[order]
+            first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (lexeme[1:] != lexeme[:-1])][: len(row)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row[first])),
+                    pa.array(list(number), pa.string()).take(pa.array(lexeme[first])),
+                    pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)], pa.int32()), pa.array(pos, pa.int32())),
+                ],
+                names=["id", "lexeme", "positions"],
+            )
+
+    return kernel
 
 
 def postings(texts: DataFrame, kind: str | Analyzer = "english") -> DataFrame:
-    """(id, lexeme, positions): the inverted table of all texts."""
-    a = analyzer(kind)
-    found = occurrences(texts)
-    if a.stems:
-        found = found.join(a.lexemes(vocabulary(texts)), "word")
-    elif a.stop_words:
-        found = found.where(~F.col("word").isin(*a.stop_words)).withColumn("lexeme", F.col("word"))
-    else:
-        found = found.withColumnRenamed("word", "lexeme")
-    return _positions(found.select("id", "lexeme", "pos"))
+    """(id, lexeme, positions): the inverted table of all texts, in one scan."""
+    held = texts.select(F.col("id").cast("string").alias("id"), words(F.col("text")).alias("words"))
+    return held.mapInArrow(_grouped(analyzer(kind)), "id string, lexeme string, positions array<int>")
 
 
 def matching_positions(texts: DataFrame, wanted: DataFrame, kind: str | Analyzer = "english") -> DataFrame:
-    """``postings`` of the ``wanted`` lexemes only.
+    """``postings`` of the ``wanted`` lexemes only, one ``lexeme`` per row.
 
-    Words that cannot match are dropped inside the scan, so only hits are
-    shuffled.  ``wanted`` has one ``lexeme`` per row.
+    Lexemes that cannot match are dropped where they are made, so only hits
+    are ever shuffled.
     """
     a = analyzer(kind)
     if a.stems:
-        spelled = materialize(a.lexemes(vocabulary(texts)).join(wanted, "lexeme", "left_semi"))
-    else:
-        spelled = a.lexemes(wanted.select(F.col("lexeme").alias("word")))
+        return join_checked(postings(texts, a), wanted, "lexeme", spread="id")
+    spelled = a.lexemes(wanted.select(F.col("lexeme").alias("word")))
     hits = join_checked(occurrences(texts), spelled, "word", spread="id")
-    return _positions(hits.select("id", "lexeme", "pos"))
+    return (
+        hits.repartition("id").groupBy("id", "lexeme").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    )
 
 
 def document_frequencies(table: DataFrame) -> DataFrame:

@@ -49,13 +49,14 @@ def text_matches(
     kind: str | Analyzer = "english",
     index: DataFrame | None = None,
     frequencies: DataFrame | None = None,
-    filtered: bool = True,
+    index_covers_all: bool = False,
 ) -> DataFrame:
     """(query_id, id, raw_rank) of every chunk that matches a query.
 
     ``chunks`` are searchable rows (id, text).  With ``index``, a stored
-    postings table of chunks, the texts are not read again; when ``chunks`` are
-    not ``filtered``, that is all the chunks of the index, neither are the ids.
+    postings table, the texts are not read again, and hits outside of
+    ``chunks`` are left out.  Say ``index_covers_all`` where the chunks are all
+    that the index holds: then their ids are not read either.
     """
     forms = materialize(query_forms(query_terms(queries, syntax, kind), frequencies))
     wanted = forms.select(F.explode("lexemes").alias("lexeme")).distinct()
@@ -69,7 +70,7 @@ def text_matches(
         else:
             found = join_checked(index, wanted, "lexeme", spread="id")
         found = found.select("id", "lexeme", "positions")
-        positions = (_within(found, chunks) if filtered else found).repartition("id")
+        positions = (found if index_covers_all else _within(found, chunks)).repartition("id")
     by_chunk = hits_by_chunk(positions)
 
     clauses = forms.select(
@@ -113,6 +114,7 @@ def text_search(
     entity_filter: Filter | None = None,
     index: DataFrame | None = None,
     frequencies: DataFrame | None = None,
+    index_covers_all: bool = False,
     payload: bool = True,
 ) -> DataFrame:
     """Best ``k`` matching chunks per query, score ``min(1, 3 x rank)``.
@@ -123,7 +125,7 @@ def text_search(
     chunks = elements.where(is_chunk() & combine(metadata_filter, entity_filter))
     matches = text_matches(
         queries, chunks.select("id", "text"), syntax=syntax, kind=kind, index=index, frequencies=frequencies,
-        filtered=metadata_filter is not None or entity_filter is not None,
+        index_covers_all=index_covers_all and metadata_filter is None and entity_filter is None,
     )
     ranked = top_k(matches, k, score="raw_rank").withColumn("score", text_score(F.col("raw_rank")))
     results = cut(ranked, threshold, ceiling)

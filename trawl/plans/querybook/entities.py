@@ -89,7 +89,7 @@ scored AS (
   FROM item_queries q, entities e WHERE e.embedding IS NOT NULL AND {before}
 ), {sql.top_k("scored", "score")}
 SELECT query_id, rank, id, rounded AS score, name FROM ranked JOIN entities USING (id)
-WHERE rounded >= 0.1 AND {after}
+WHERE score >= 0.1 AND {after}
 """
 
 

@@ -76,18 +76,11 @@ name_queries AS (
   UNION ALL SELECT 'r' || r_regionkey, r_name FROM region
 )"""
 
-# Positions of the simple analyzer: words from 1, cut at 16383, 256 per lexeme.
+# Positions of the simple analyzer: words from 1.
 POSTINGS = """
-spelled AS (
-  SELECT id, lexeme, least(i, 16383) AS pos FROM (
-    SELECT id, unnest(ws) AS lexeme, unnest(range(1, len(ws) + 1)) AS i
-    FROM (SELECT id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS ws FROM chunks)
-  )
-),
 post AS (
-  SELECT id, lexeme, pos FROM (
-    SELECT DISTINCT id, lexeme, pos FROM spelled
-  ) QUALIFY row_number() OVER (PARTITION BY id, lexeme ORDER BY pos) <= 256
+  SELECT id, unnest(ws) AS lexeme, unnest(range(1, len(ws) + 1)) AS pos
+  FROM (SELECT id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS ws FROM chunks)
 )"""
 
 
@@ -135,16 +128,26 @@ spots AS (
          row_number() OVER (PARTITION BY m.query_id, m.id, p.lexeme ORDER BY p.pos) AS j
   FROM matched m JOIN all_terms t USING (query_id) JOIN post p ON p.id = m.id AND p.lexeme = t.lexeme
 ),
-apart AS (
-  SELECT a.query_id, a.id,
-         1 - exp(sum(ln(1 - sqrt(0.01 * CASE WHEN abs(a.pos - b.pos) > 100 THEN 1e-30
-              ELSE 1 / (1.005 + 0.05 * exp(abs(a.pos - b.pos) / 1.5 - 2)) END)))) AS raw_rank
+against AS (
+  SELECT a.query_id, a.id, a.lexeme, a.pos,
+         list_reduce(list(1 - sqrt(0.1::DOUBLE * 0.1::DOUBLE * CASE WHEN abs(a.pos - b.pos) > 100 THEN 1e-30
+              ELSE 1 / (1.005::DOUBLE + 0.05::DOUBLE * exp(abs(a.pos - b.pos) / 1.5::DOUBLE - 2)) END)
+           ORDER BY b.lexeme, b.pos), lambda x, y: x * y) AS left_over
   FROM spots a JOIN spots b ON a.query_id = b.query_id AND a.id = b.id AND a.lexeme < b.lexeme AND a.pos <> b.pos
   GROUP BY ALL
 ),
+apart AS (
+  SELECT query_id, id, 1 - list_reduce(list(left_over ORDER BY lexeme, pos), lambda x, y: x * y) AS raw_rank
+  FROM against GROUP BY query_id, id
+),
+per_lexeme AS (
+  SELECT query_id, id, lexeme, list_reduce(list(0.1::DOUBLE / (j * j) ORDER BY j), lambda x, y: x + y) AS part
+  FROM spots GROUP BY ALL
+),
 alone AS (
-  SELECT query_id, id, sum(0.1 / (j * j)) / 1.64493406685 / any_value(n_terms) AS raw_rank
-  FROM spots JOIN shape USING (query_id) GROUP BY query_id, id
+  SELECT query_id, id,
+         list_reduce(list(part ORDER BY lexeme), lambda x, y: x + y) / 1.64493406685::DOUBLE / any_value(n_terms) AS raw_rank
+  FROM per_lexeme JOIN shape USING (query_id) GROUP BY query_id, id
 ),
 matches AS (
   SELECT m.query_id, m.id,
@@ -189,10 +192,10 @@ fuzzy_matches AS (
 
 
 def top_k(matches: str, score: str, k: int = 10) -> str:
-    """Rank on the rounded score, ties to the smaller id."""
+    """Rank on the score as it is, ties to the smaller id; rounded for show."""
     return f"""
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rounded DESC, id) AS rank
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {score} DESC, id) AS rank
   FROM (SELECT *, round({score}, 6) AS rounded FROM {matches})
   QUALIFY rank <= {k}
 )"""

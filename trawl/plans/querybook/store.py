@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -207,7 +207,7 @@ def embedder(spark, sf):
 
 def _store(spark) -> ContentStore:
     folder = f"{checkpoint_folder(spark)}/store"
-    return ContentStore(spark, f"{folder}-{hashlib.md5(tempfile.mktemp().encode()).hexdigest()}", kind="simple", buckets=16)
+    return ContentStore(spark, f"{folder}-{uuid.uuid4().hex}", kind="simple", buckets=16)
 
 
 STORED = f"""

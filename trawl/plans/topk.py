@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from trawl.plans.sizing import BROADCAST_ROWS, SALTS, at_most
 
-SCORE_DIGITS = 6
 WINDOW_LIMIT_ROWS = 1000
 PAYLOAD = ("uri", "text", "urtext", "parent_id", "labels", "metadata", "ingestion_timestamp")
 
@@ -21,15 +20,14 @@ def check_k(k: int) -> int:
 def top_k(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
     """The ``k`` best rows per ``query_id`` with their ``rank``.
 
-    Scores are rounded to six digits before ranking and ties go to the smaller
-    id, so ranks do not depend on how the data was partitioned.  Spark keeps
+    Scores are ranked as they are; exact ties go to the smaller id.  Spark keeps
     only ``k`` rows per query and task ahead of the shuffle (window group
     limit); that holds below a thousand, so a larger ``k`` is cut in two steps,
     first within salted slices of each query.
     """
     check_k(k)
     order = [F.col(score).desc(), F.col("id").asc()]
-    ranked = scored.withColumn(score, F.round(score, SCORE_DIGITS))
+    ranked = scored
     if k >= WINDOW_LIMIT_ROWS:
         slices = Window.partitionBy("query_id", "_slice").orderBy(*order)
         ranked = (
