@@ -1,7 +1,7 @@
 """From raw documents to token ids in five stages.
 
-1. language: texts without letters, or without one language that has half of
-   their letters, go.  The model learns from all labelled rows of the input.
+1. language: texts without letters, or without one language that has two
+   fifths of their letters, go.  The model learns from all labelled rows of the input.
 2. near_duplicates: of each group of near copies the row with the smallest
    doc_id stays.  Fingerprints take five-word shingles and three lanes of 64
    bits; 29 differing bits of 192 stand for a similarity of 0.8.
@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from trawl.llm import decontam, langid, pieces, simhash, units
 from trawl.plans.lineage import checkpoint_folder
 
+MIN_SHARE = 0.4
 SHINGLE_WORDS = 5
 LANES = 3
 DIFFERING_BITS = 29
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.in_one_language(docs, langid.fit(docs))
+    return langid.in_one_language(docs, langid.fit(docs), min_share=MIN_SHARE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ any Python runs, so further columns, whatever their names, never reach a task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts of one working slice, in bytes; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: After so many slices, and at a task's end, freed memory goes back to the system.
+SLICES_KEPT = 16
 
 
 def narrowed(rows: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -24,8 +27,18 @@ def narrowed(rows: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return rows.select(rows[id_column].cast("long").alias("id"), rows[text_column].cast("string").alias("text"))
 
 
+def give_back() -> None:
+    """Python workers outlive their tasks and share an executor's memory with
+    it, so what they have freed must not stay with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of about ``most`` bytes of text each."""
+    count = 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -35,6 +48,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
         bounds = [0, *cuts.tolist(), batch.num_rows]
         for first, last in zip(bounds, bounds[1:]):
             yield batch.slice(first, last - first)
+            count += 1
+            if count % SLICES_KEPT == 0:
+                give_back()
+    give_back()
 
 
 def filled(column: pa.Array) -> list[str]:
@@ -52,6 +69,13 @@ def per_text(rows: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: st
     return rows.mapInArrow(run, schema)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name`` with underscores in front until it is none of ``taken``."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name
+
+
 def appended(rows: DataFrame, text_column: str, work: Callable[[list[str]], dict], extra: str) -> DataFrame:
     """All columns of the rows, and what ``work`` makes of their texts.
 
@@ -60,10 +84,7 @@ def appended(rows: DataFrame, text_column: str, work: Callable[[list[str]], dict
     """
     fields = []
     for field in T._parse_datatype_string(extra).fields:
-        name = field.name
-        while name.lower() in {c.lower() for c in rows.columns}:
-            name = f"_{name}"
-        fields.append(T.StructField(name, field.dataType))
+        fields.append(T.StructField(free_name(field.name, rows.columns), field.dataType))
     place = rows.columns.index(text_column)
     names = [f.name for f in T._parse_datatype_string(extra).fields]
 

@@ -35,6 +35,8 @@ from trawl.llm.batches import WordMemo, appended, filled, narrowed, per_text, ra
 BLANK = "▁"
 #: Symbols of stretches merged side by side, at most; a longer one goes alone.
 SIDE_BY_SIDE = 1 << 20
+#: Stretches remembered between batches.
+MEMO = 400_000
 NO_MERGE = np.iinfo(np.int64).max
 
 
@@ -214,7 +216,7 @@ class Checked:
     def __init__(self, path: str):
         self.merger = Merger(path)
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.memo = WordMemo(self._encode)
+        self.memo = WordMemo(self._encode, most=MEMO)
         self.differing: set[str] = set()
 
     def _encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:

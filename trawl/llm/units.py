@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.batches import filled, narrowed, slices
+from trawl.llm.batches import filled, free_name, narrowed, slices
 from trawl.plans.lineage import materialize
 
 CUT = re.compile(r"[.!?…][\"'”’»)\]]*[ \t]+|\n+")
@@ -94,7 +94,8 @@ def repeated_units(rows: DataFrame, id_column: str = "doc_id", text_column: str
 
 def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows with the spans (id, tag, start, stop) cut out of their text, and
-    ``kept_spans``: where in the original each remaining stretch stood."""
+    ``kept_spans``: where in the original each remaining stretch stood (with
+    underscores in front where the name is taken)."""
     own = "_units_"
     gone = spans.groupBy(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag")).agg(
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias(own + "gone")
@@ -117,13 +118,15 @@ def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", t
     left = F.array_join(F.transform(kept, lambda s: F.substring(text, s["start"] + 1, s["stop"] - s["start"])), "")
     cut = F.when(spots.isNull(), text).otherwise(left).alias(text_column)
     columns = [cut if c == text_column else rows[c] for c in rows.columns]
-    return joined.select(*columns, F.when(spots.isNull(), whole).otherwise(kept).alias("kept_spans"))
+    added = free_name("kept_spans", rows.columns)
+    return joined.select(*columns, F.when(spots.isNull(), whole).otherwise(kept).alias(added))
 
 
 def without_repeats(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", size_column: str | None = None) -> DataFrame:
     """The rows, all columns kept, without their repeated units; texts of which
     nothing but blanks is left go.  ``size_column`` is set to the new length."""
-    cut = remove_spans(rows, repeated_units(rows, id_column, text_column), id_column, text_column).drop("kept_spans")
+    cut = remove_spans(rows, repeated_units(rows, id_column, text_column), id_column, text_column)
+    cut = cut.drop(cut.columns[-1])
     text = F.col(text_column)
     changed = cut.where(text.isNull() | (F.length(F.trim(text)) > 0) | (F.length(text) == 0))
     if size_column in rows.columns:
