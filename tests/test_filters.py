@@ -19,6 +19,11 @@ def table(spark):
 
 
 CASES = [
+    (f.Gt("big", 9007199254740992), "hit"),
+    (f.Gte("big", 9007199254740994), ""),
+    (f.Lt("score", 0.3), "miss"),
+    (f.Lte("score", 0.2), "miss"),
+    (f.Gt("count", 9.5), "hit type"),
     (f.Eq("owner", "alice"), "hit"),
     (f.Eq("owner", 1), "type"),
     (f.Eq("owner", "1"), ""),

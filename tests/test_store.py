@@ -165,6 +165,15 @@ def test_store_backfill_delete_and_search(spark, tmp_path, make_queries):
     assert {r.id for r in text_search(asked, elements, 10, index=index).collect()} == {"c1", "c2"}
     ranked = text_search(asked, elements, 10, index=index, entity_filter=HasAnyLabel(["Chunk"]), payload=False)
     assert {r.id: r.text for r in store.elements.attach(ranked).collect()} == {"c1": "machine learning", "c2": "learning to fly"}
+    from trawl.operators.hybrid_search import hybrid_search
+
+    # rows that the caller has narrowed: the index finds nothing outside of them
+    some = elements.where("id <> 'c1'")
+    for payload in (True, False):
+        for search in (text_search, hybrid_search):
+            with_vector = asked.withColumn("embedding", F.lit(None).cast("array<float>"))
+            hits = search(with_vector, some, 1, index=index, payload=payload).collect()
+            assert [r.id for r in hits] == ["c2"] == [r.id for r in search(with_vector, some, 1, payload=payload).collect()]
     none = text_search(asked, elements, 10, index=index, entity_filter=HasAnyLabel(["Other"]), payload=False)
     assert none.count() == 0
     assert [tuple(r) for r in store.delete_trees(spark.createDataFrame([("u",)], "uri string")).collect()] == [("u", 4)]

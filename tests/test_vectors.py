@@ -28,7 +28,7 @@ def brute(k):
     a, b = ASKED.astype("float64"), CORPUS[:-1].astype("float64")
     scores = (a @ b.T) / np.linalg.norm(a, axis=1)[:, None] / np.linalg.norm(b, axis=1)
     out = {}
-    for q, row in enumerate(np.round(scores, 6)):
+    for q, row in enumerate(scores):
         best = sorted(((-s, f"c{i:04d}") for i, s in enumerate(row)))[:k]
         out[f"q{q}"] = [i for _, i in best]
     return out
@@ -102,3 +102,10 @@ def test_lengths_must_agree(spark, corpus):
     wrong = spark.createDataFrame([("q", [1.0, 2.0])], "query_id string, embedding array<float>")
     with pytest.raises(Exception, match="every embedding must have 2"):
         nearest(wrong, corpus, 3).collect()
+
+
+def test_close_scores_keep_their_order(spark):
+    angle = lambda c: [c, (1 - c * c) ** 0.5]
+    rows = spark.createDataFrame([("a", angle(0.9000001)), ("b", angle(0.9000004))], "id string, embedding array<float>")
+    one = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<float>")
+    assert [r.id for r in nearest(one, rows, 1).collect()] == ["b"]

@@ -8,6 +8,8 @@ as in SQL: a comparison on a missing key is NULL and selects nothing, except
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -189,9 +191,26 @@ def _contained(metadata: Column, key: str, value: Any) -> Column:
     return F.when(metadata.isNotNull(), found)
 
 
-def _number(metadata: Column, key: str, strict: bool) -> Column:
-    text = text_value(metadata, key)
-    return text.cast("double") if strict else text.try_cast("double")
+def _compared(metadata: Column, key: str, value: Any, strict: bool, how: Callable[[Column, Column], Column]) -> Column:
+    """A numeric comparison: whole numbers of up to 38 digits and decimals of
+    up to 20 + 18 digits exactly, all others as doubles."""
+    text = F.trim(text_value(metadata, key))
+    number = text.cast("double") if strict else text.try_cast("double")
+    found = how(number, F.lit(float(value)))
+    exact = Decimal(str(value))
+    if not exact.is_finite():
+        return found
+
+    def as_decimal(kind: str, shape: str) -> None:
+        nonlocal found
+        here = how(text.try_cast(kind), F.lit(format(exact, "f")).cast(kind))
+        found = F.when(text.rlike(shape), here).otherwise(found)
+
+    if abs(exact) < 10**20 and -exact.as_tuple().exponent <= 18:
+        as_decimal("decimal(38,18)", r"^[-+]?\d{1,20}(\.\d{1,18})?$")
+    if abs(exact) < 10**38 and exact == exact.to_integral_value():
+        as_decimal("decimal(38,0)", r"^[-+]?\d{1,38}$")
+    return found
 
 
 def _strings(values: Sequence[str]) -> list[str]:
@@ -232,13 +251,13 @@ def column(
             case Ne(key, value):
                 return ~_contained(metadata, key, value)
             case Gt(key, value):
-                return _number(metadata, key, strict_numbers) > F.lit(float(value))
+                return _compared(metadata, key, value, strict_numbers, operator.gt)
             case Gte(key, value):
-                return _number(metadata, key, strict_numbers) >= F.lit(float(value))
+                return _compared(metadata, key, value, strict_numbers, operator.ge)
             case Lt(key, value):
-                return _number(metadata, key, strict_numbers) < F.lit(float(value))
+                return _compared(metadata, key, value, strict_numbers, operator.lt)
             case Lte(key, value):
-                return _number(metadata, key, strict_numbers) <= F.lit(float(value))
+                return _compared(metadata, key, value, strict_numbers, operator.le)
             case In(key, values):
                 return text_value(metadata, key).isin(_strings(values))
             case Nin(key, values):
