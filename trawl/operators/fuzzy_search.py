@@ -42,10 +42,17 @@ def token_similarities(queries: DataFrame, words: DataFrame, threshold: float) -
     """
     asked = queries.select(
         F.col("query_id").cast("string").alias("query_id"), trigram_set(F.col("query")).alias("grams")
-    ).select("query_id", F.size("grams").alias("nq"), F.explode("grams").alias("gram"))
-    offered = words.select("word", F.array_distinct(word_trigrams(F.col("word"))).alias("grams")).select(
-        "word", F.size("grams").alias("nw"), F.explode("grams").alias("gram")
-    )
+    ).withColumn("nq", F.size("grams"))
+    offered = words.select("word", F.array_distinct(word_trigrams(F.col("word"))).alias("grams")).withColumn("nw", F.size("grams"))
+    if threshold > 0:
+        # sets whose sizes are further apart than the threshold cannot be similar,
+        # so whole sentences never meet words, nor the words far from any query
+        (shortest, longest) = offered.agg(F.min("nw"), F.max("nw")).first()
+        asked = asked.where(F.col("nq").between((shortest or 0) * threshold, (longest or 0) / threshold))
+        (shortest, longest) = asked.agg(F.min("nq"), F.max("nq")).first()
+        offered = offered.where(F.col("nw").between((shortest or 0) * threshold, (longest or 0) / threshold))
+    asked = asked.select("query_id", "nq", F.explode("grams").alias("gram"))
+    offered = offered.select("word", "nw", F.explode("grams").alias("gram"))
     limit = F.lit(float(threshold))
     sizes = (F.least("nq", "nw") / F.greatest("nq", "nw")).cast("float")
     similarity = (F.col("shared") / (F.col("nq") + F.col("nw") - F.col("shared"))).cast("float")
@@ -66,7 +73,7 @@ def fuzzy_matches(queries: DataFrame, chunks: DataFrame, threshold: float = FUZZ
     # combined on the map side first; the second step fixes how many tasks share
     # the scoring, which weighs far more than the size of the words suggests
     tasks = max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    words = held.select("word").distinct().repartition(tasks, "word")
+    words = materialize(held.select("word").distinct().repartition(tasks, "word"))
     close = materialize(token_similarities(queries, words, threshold))
     return (
         join_checked(held, close, "word", spread="id")
