@@ -80,7 +80,10 @@ def lexemes_simple(spark, sf):
     )
 
 
-@query("lexemes_english")
+@query("lexemes_english", f"""
+WITH {sql.CHUNKS}, {sql.english()}
+SELECT id, lexeme, count(*) AS hits, string_agg(pos, ',' ORDER BY pos) AS positions FROM post GROUP BY ALL
+""")
 def lexemes_english(spark, sf):
     table = lexicon.postings(texts(spark, sf).select("id", "text"), "english")
     return table.select(
@@ -265,7 +268,11 @@ def text_indexed_narrowed(spark, sf):
     return found.select(*shown())
 
 
-@query("text_search_english")
+@query("text_search_english", f"""
+WITH {sql.CHUNKS}, {sql.SENTENCES}, {sql.english("sentences")}, {sql.MATCHES}, {sql.top_k("matches", "raw_rank")}
+SELECT query_id, rank, id, round(least(1.0, 3.0 * raw_rank), 6) AS score
+FROM ranked WHERE least(1.0, 3.0 * raw_rank) >= 0.1
+""")
 def text_english(spark, sf):
     found = text_search(c.sentence_queries(spark, sf), texts(spark, sf), 10, 0.1, payload=False)
     return found.select(*shown())
@@ -330,13 +337,15 @@ def fuzzy(spark, sf):
 
 # --- hybrid ----------------------------------------------------------------
 
-HYBRID = f"""{MATCHED}, {sql.web_terms("sentences")}, {sql.MATCHES},
+SCORED = """
 scored AS (
   SELECT m.query_id, m.id,
          0.7 * coalesce(list_cosine_similarity(c.embedding::DOUBLE[], q.embedding::DOUBLE[]), 0)
          + 0.3 * m.raw_rank / (1 + m.raw_rank) AS score
   FROM matches m JOIN chunks c USING (id) JOIN sentences q USING (query_id)
 )"""
+HYBRID = f"{MATCHED}, {sql.web_terms('sentences')}, {sql.MATCHES}, {SCORED}"
+ENGLISH_HYBRID = f"{sql.CHUNKS}, {sql.SENTENCES}, {sql.english('sentences')}, {sql.MATCHES}, {SCORED}"
 
 
 @query("hybrid_scores", f"""
@@ -347,20 +356,26 @@ def hybrid_all(spark, sf):
     return found.select("query_id", "id", F.round("score", 6).alias("score"))
 
 
-HYBRID_SQL = f"""
-WITH {HYBRID}, {sql.top_k("scored", "score")},
+def hybrid_sql(scored: str) -> str:
+    """Hybrid answers, and fuzzy ones where those fall short."""
+    return f"""
+WITH {scored}, {sql.top_k("scored", "score")},
 answered AS (SELECT query_id, rank, id, rounded AS score, 'hybrid' AS strategy FROM ranked WHERE score >= 0.02),
 open_queries AS (SELECT * FROM sentences WHERE query_id NOT IN (SELECT query_id FROM answered)),
 {sql.fuzzy_matches("open_queries")},
 fuzzy_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
   FROM (SELECT *, round(score, 6) AS rounded FROM fuzzy_matches) QUALIFY rank <= 10
+), results AS (
+  SELECT * FROM answered
+  UNION ALL SELECT query_id, rank, id, rounded, 'fuzzy' FROM fuzzy_ranked
 )
-SELECT * FROM answered
-UNION ALL SELECT query_id, rank, id, rounded, 'fuzzy' FROM fuzzy_ranked
 """
 
 
+HYBRID_SQL = hybrid_sql(HYBRID) + "SELECT * FROM results"
+
+
 @query("hybrid_search", HYBRID_SQL)
 def hybrid(spark, sf):
     found = hybrid_search(
@@ -379,7 +394,11 @@ def hybrid_indexed(spark, sf):
     return found.select(*shown(), "strategy")
 
 
-@query("hybrid_search_english")
+@query(
+    "hybrid_search_english",
+    hybrid_sql(ENGLISH_HYBRID)
+    + "SELECT r.*, c.uri, c.text, c.parent_id, c.metadata FROM results r JOIN chunks c USING (id)",
+)
 def hybrid_english(spark, sf):
     """The flagship: web syntax, stemming, vectors, fallback, whole rows."""
     found = hybrid_search(c.sentence_queries(spark, sf), c.chunks(spark, sf), 10, 0.02)

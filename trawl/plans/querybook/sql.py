@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from trawl.functions.stemming import KEPT_AFTER_PLURAL, STEP_2, STEP_3, STEP_4, STOP_WORDS, WHOLE_WORDS
+
 CHUNKS = """
 lines AS (
   SELECT d.doc_id, d.lang, d.source, d.n_chars, i - 1 AS pos, string_split(d.text, chr(10))[i] AS text
@@ -199,3 +201,109 @@ ranked AS (
   FROM (SELECT *, round({score}, 6) AS rounded FROM {matches})
   QUALIFY rank <= {k}
 )"""
+
+
+# --- English ------------------------------------------------------------------
+# The stemmer once more, as regular expressions over whole vocabularies.
+
+REGION = "^[^aeiouy]*[aeiouy]+[^aeiouy]"
+SHORT = "CASE WHEN length({0}) = 2 THEN regexp_matches({0}, '^[aeiouy][^aeiouy]$') ELSE regexp_matches({0}, '[^aeiouy][aeiouy][^aeiouywxY]$') END"
+
+
+def _by_ending(changes: dict[str, str], region: str, further: dict[str, str]) -> str:
+    """CASE over endings, longest first: within ``region``, and where its
+    ``further`` condition on the base holds, an ending is exchanged."""
+    cases = []
+    for end in sorted(changes, key=len, reverse=True):
+        base = f"left(w, -{len(end)})"
+        holds = f"length(w) - {len(end)} >= {region} AND " + further.get(end, "true").format(base)
+        cases.append(f"WHEN ends_with(w, '{end}') THEN CASE WHEN {holds} THEN {base} || '{changes[end]}' ELSE w END")
+    return f"CASE {' '.join(cases)} ELSE w END"
+
+
+def stems(vocabulary: str) -> str:
+    """CTE ``stemmed`` (word, stem) for the column ``word``; stop words are left out."""
+    stops = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    whole = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in WHOLE_WORDS.items())
+    kept = ", ".join(f"'{w}'" for w in sorted(KEPT_AFTER_PLURAL))
+    second = _by_ending(
+        STEP_2, "r1", {"li": "regexp_matches({0}, '[cdeghkmnrt]$')", "ogi": "ends_with({0}, 'l')"}
+    )
+    third = _by_ending(STEP_3, "r1", {"ative": "length({0}) >= r2"})
+    fourth = _by_ending(dict.fromkeys(STEP_4, ""), "r2", {"ion": "regexp_matches({0}, '[st]$')"})
+    return f"""
+marked AS (
+  SELECT word,
+         CASE WHEN length(word) <= 2 OR regexp_matches(word, '\\p{{N}}') THEN word ELSE CASE word {whole} END END AS fixed,
+         array_to_string(list_transform(range(1, length(word) + 1), lambda i:
+           CASE WHEN word[i] = 'y' AND (i = 1 OR regexp_matches(word[i - 1], '[aeiouy]')) THEN 'Y' ELSE word[i] END), '') AS w
+  FROM {vocabulary} WHERE word NOT IN ({stops})
+),
+first_region AS (
+  SELECT *, CASE WHEN regexp_matches(w, '^(gener|commun|arsen)') THEN length(regexp_extract(w, '^(gener|commun|arsen)'))
+                 ELSE coalesce(nullif(length(regexp_extract(w, '{REGION}')), 0), length(w)) END AS r1
+  FROM marked
+),
+regions AS (
+  SELECT *, r1 + coalesce(nullif(length(regexp_extract(substr(w, r1 + 1), '{REGION}')), 0), length(w) - r1) AS r2
+  FROM first_region
+),
+singular AS (
+  SELECT * REPLACE (CASE
+           WHEN ends_with(w, 'sses') THEN left(w, -2)
+           WHEN regexp_matches(w, 'ie[ds]$') THEN CASE WHEN length(w) > 4 THEN left(w, -2) ELSE left(w, -1) END
+           WHEN regexp_matches(w, '[us]s$') THEN w
+           WHEN ends_with(w, 's') AND regexp_matches(left(w, -2), '[aeiouy]') THEN left(w, -1) ELSE w END AS w)
+  FROM regions
+),
+settled AS (SELECT * REPLACE (CASE WHEN w IN ({kept}) THEN coalesce(fixed, w) ELSE fixed END AS fixed) FROM singular),
+parted_past AS (
+  SELECT *, regexp_extract(w, '(eedly|ingly|edly|eed|ing|ed)$') AS gone,
+         regexp_replace(w, '(eedly|ingly|edly|eed|ing|ed)$', '') AS base
+  FROM settled
+),
+present AS (
+  SELECT * EXCLUDE (gone, base) REPLACE (CASE
+           WHEN gone = '' THEN w
+           WHEN gone IN ('eed', 'eedly') THEN CASE WHEN length(base) >= r1 THEN base || 'ee' ELSE w END
+           WHEN NOT regexp_matches(base, '[aeiouy]') THEN w
+           WHEN regexp_matches(base, '(at|bl|iz)$') THEN base || 'e'
+           WHEN regexp_matches(base, '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$') THEN left(base, -1)
+           WHEN length(base) <= r1 AND {SHORT.format('base')} THEN base || 'e' ELSE base END AS w)
+  FROM parted_past
+),
+ended_y AS (
+  SELECT * REPLACE (CASE WHEN length(w) > 2 AND regexp_matches(w, '[^aeiouy][yY]$') THEN left(w, -1) || 'i' ELSE w END AS w)
+  FROM present
+),
+second_step AS (SELECT * REPLACE ({second} AS w) FROM ended_y),
+third_step AS (SELECT * REPLACE ({third} AS w) FROM second_step),
+fourth_step AS (SELECT * REPLACE ({fourth} AS w) FROM third_step),
+stemmed AS (
+  SELECT word, coalesce(fixed, replace(CASE
+           WHEN ends_with(w, 'e') AND (length(w) - 1 >= r2 OR length(w) - 1 >= r1 AND NOT {SHORT.format('left(w, -1)')}) THEN left(w, -1)
+           WHEN ends_with(w, 'll') AND length(w) - 1 >= r2 THEN left(w, -1) ELSE w END, 'Y', 'y')) AS stem
+  FROM fourth_step
+)"""
+
+
+def english(queries: str | None = None) -> str:
+    """CTEs ``post`` and, for the web syntax over ``queries``, ``terms``."""
+    asked = "" if queries is None else f"""
+parted AS (SELECT query_id, string_split_regex(query, '(?i)\\s+or\\s+') AS parts FROM {queries}),
+asked AS (
+  SELECT DISTINCT query_id, i AS clause, unnest(regexp_extract_all(lower(parts[i]), '[\\p{{L}}\\p{{N}}]+')) AS word
+  FROM parted, unnest(range(1, len(parts) + 1)) AS t(i)
+),"""
+    more = "" if queries is None else "UNION SELECT word FROM asked"
+    terms = "" if queries is None else """,
+terms AS (SELECT DISTINCT query_id, clause, stem AS lexeme FROM asked JOIN stemmed USING (word))"""
+    return f"""
+placed AS (
+  SELECT id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos
+  FROM (SELECT id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS ws FROM chunks)
+),{asked}
+vocabulary AS (SELECT word FROM placed {more}),
+distinct_words AS (SELECT DISTINCT word FROM vocabulary),
+{stems("distinct_words").strip()},
+post AS (SELECT id, stem AS lexeme, pos FROM placed JOIN stemmed USING (word)){terms}"""
