@@ -204,3 +204,17 @@ def test_derived_columns_on_a_stream(spark, tmp_path):
     run = stream.writeStream.format("memory").queryName("derived").trigger(availableNow=True).start()
     run.awaitTermination()
     assert spark.table("derived").first().tokens == ["some", "text"]
+
+
+def test_store_checks_vectors_and_leaves_no_files(spark, tmp_path):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in folder.iterdir()} if folder.exists() else set()
+    store = ContentStore(spark, str(tmp_path / "d"), buckets=2, dimension=2)
+    rows = chunk_rows(spark, [("c1", "some words")])
+    store.save(rows.withColumn("embedding", F.array(F.lit(1.0), F.lit(2.0)).cast("array<float>")), upsert.save_chunks)
+    assert {p.name for p in folder.iterdir()} == before
+    with pytest.raises(Exception, match="expected 2"):
+        store.save(rows.withColumn("embedding", F.array(F.lit(1.0)).cast("array<float>")), upsert.save_chunks)
+    assert store.elements.read().count() == 1 and store.postings.read().count() == 2

@@ -11,10 +11,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions import text as tx
 from trawl.sources.schemas import ELEMENTS, conform, conform_entities, with_derived
 
 # Columns each write operation sets; the others keep their value.
 ELEMENT_COLUMNS = ("uri", "text", "urtext", "parent_id", "labels", "metadata")
+DERIVED = ("clean_text", "tokens")
 CHUNK_COLUMNS = (*ELEMENT_COLUMNS, "embedding")
 CONTENT_COLUMNS = ("uri", "text", "parent_id", "labels", "metadata", "raw_content", "content_type")
 ENTITY_COLUMNS = ("name", "description", "uri", "labels", "properties", "metadata", "context_id", "embedding")
@@ -74,7 +76,10 @@ def _element_upsert(
     missing = [c for c in columns if c not in updates.columns]
     updates = updates.withColumns({c: F.lit(None).cast(ELEMENTS[c].dataType) for c in missing})
     stamped = {"ingestion_timestamp": F.localtimestamp() if now is None else now}
-    return with_derived(upsert(target, updates, columns, order=order, on_insert=stamped))
+    # derived for the updates alone; other rows keep what they have
+    after = upsert(target, with_derived(updates), (*columns, *DERIVED), order=order, on_insert=stamped)
+    cleaned = after.withColumn("clean_text", F.coalesce("clean_text", tx.clean_text(F.col("text"))))
+    return cleaned.withColumn("tokens", F.coalesce("tokens", tx.tokens(F.col("clean_text"))))
 
 
 def save_elements(target: DataFrame, updates: DataFrame, *, order: str | None = None, now: Column | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +31,30 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or own
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate files written within are deleted at the end.
+
+    For operations that have committed their result by then; nothing lazy that
+    reads such files may leave the block.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once under the checkpoint folder and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/trawl-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

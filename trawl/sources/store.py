@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.functions.text import WORD
-from trawl.plans.lineage import materialize
+from trawl.plans.lineage import materialize, scratch
 from trawl.plans.sizing import join_checked
 from trawl.plans.topk import PAYLOAD
-from trawl.sources.schemas import ELEMENTS, POSTINGS, conform
+from trawl.sources.schemas import ELEMENTS, POSTINGS, check_dimension, conform
 
 BUCKETS = 64
 
@@ -108,18 +108,24 @@ class Table:
 class ContentStore:
     """Elements and their postings kept in step."""
 
-    def __init__(self, spark: SparkSession, path: str, *, kind: str = "english", buckets: int = BUCKETS):
-        self.kind = kind
+    def __init__(
+        self, spark: SparkSession, path: str, *, kind: str = "english", buckets: int = BUCKETS, dimension: int | None = None
+    ):
+        """With a ``dimension`` a write fails on a vector of another length."""
+        self.spark, self.kind, self.dimension = spark, kind, dimension
         self.elements = Table(spark, f"{path}/elements", ELEMENTS, buckets=buckets)
         # sorted by lexeme inside each bucket, so a search skips row groups
         self.postings = Table(spark, f"{path}/postings", POSTINGS, buckets=buckets, order="lexeme")
 
     def save(self, updates: DataFrame, how: Callable[..., DataFrame], **options) -> None:
         """Apply one of the element upserts and refresh the postings it changed."""
-        # read twice below, and it may read from this very table
-        updates = materialize(updates)
-        self.elements.change(updates, lambda present: how(present, updates, **options))
-        self.refresh_postings(updates.select("id").distinct())
+        if self.dimension is not None and "embedding" in updates.columns:
+            updates = check_dimension(updates, self.dimension)
+        with scratch(self.spark):
+            # read twice below, and it may read from this very table
+            kept = materialize(updates)
+            self.elements.change(kept, lambda present: how(present, kept, **options))
+            self.refresh_postings(kept.select("id").distinct())
 
     def refresh_postings(self, ids: DataFrame) -> None:
         """Rewrite the postings of the given elements from their present text.
