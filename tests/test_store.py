@@ -217,4 +217,4 @@ def test_store_checks_vectors_and_leaves_no_files(spark, tmp_path):
     assert {p.name for p in folder.iterdir()} == before
     with pytest.raises(Exception, match="expected 2"):
         store.save(rows.withColumn("embedding", F.array(F.lit(1.0)).cast("array<float>")), upsert.save_chunks)
-    assert store.elements.read().count() == 1 and store.postings.read().count() == 2
+    assert store.elements.read().count() == 1 and store.postings.read().count() == 1
