@@ -37,6 +37,8 @@ WINDOW = 20
 SIMILAR = 0.8
 #: Bits of the table in the plan: at most this many (2 MB).
 MOST_BITS = 1 << 24
+#: Where in a hash the places of its bits are read.
+SHIFTS = (0, 20, 40)
 #: Benchmark hashes up to this number (16 bytes each) may be broadcast.
 BROADCAST_HASHES = 500_000
 
@@ -69,20 +71,28 @@ def _seeds(words: Column, masks: list[str]) -> Column:
 
 
 class BitTable:
-    """Which of 2^k values occur among some hashes, as a constant."""
+    """Which hashes may be among some given ones, as a constant: each sets
+    ``len(SHIFTS)`` bits of a table of 2^k."""
 
     def __init__(self, hashes: DataFrame, count: int):
         self.bits = min(MOST_BITS, 1 << max(10, ceil(log2(count + 1)) + 7))
-        spot = f"pmod(seed, {self.bits}L)"
-        words = hashes.groupBy(F.expr(f"int({spot} div 64)").alias("word"))
-        found = dict(words.agg(F.expr(f"bit_or(shiftleft(1L, int({spot} % 64)))")).collect())
+        spots = hashes.select(F.explode(F.array(*[self._spot(F.col("seed"), s) for s in SHIFTS])).alias("spot"))
+        words = spots.groupBy(F.expr("int(spot div 64)").alias("word"))
+        found = dict(words.agg(F.expr("bit_or(shiftleft(1L, int(spot % 64)))")).collect())
         packed = ",".join(str(found.get(i, 0)) for i in range(self.bits // 64))
         self.words = F.split(F.lit(packed), ",").cast("array<bigint>")
 
+    def _spot(self, seed: Column, shift: int) -> Column:
+        return F.shiftrightunsigned(seed, shift).bitwiseAND(F.lit(self.bits - 1).cast("long"))
+
     def may_hold(self, seed: Column) -> Column:
-        spot = F.pmod(seed, F.lit(self.bits).cast("long"))
-        word = F.get(self.words, F.shiftright(spot, 6).cast("int"))
-        return F.call_function("getbit", word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
+        found = None
+        for shift in SHIFTS:
+            spot = self._spot(seed, shift)
+            word = F.get(self.words, F.shiftright(spot, 6).cast("int"))
+            bit = F.call_function("getbit", word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
+            found = bit if found is None else found & bit
+        return found
 
 
 def _best_stretch(equal: Column, first: Column, length: Column) -> Column:
