@@ -98,13 +98,13 @@ def vectors(spark, sf):
     found = e.entity_vector_search(
         c.benchmark_queries(spark, sf), c.entities(spark, sf), 10, 0.1, entity_filter=HasAnyLabel(["Customer"])
     )
-    return found.select("query_id", "rank", "id", "score", "name")
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "name")
 
 
 @query("entity_vector_search_scoped", vector_sql("e.context_id = 'EUROPE'"))
 def vectors_scoped(spark, sf):
     found = e.entity_vector_search(c.benchmark_queries(spark, sf), c.entities(spark, sf), 10, 0.1, context="EUROPE")
-    return found.select("query_id", "rank", "id", "score", "name")
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "name")
 
 
 @query("entity_vector_search_post_filtered", vector_sql("true", "context_id = 'EUROPE'"))
@@ -112,7 +112,7 @@ def vectors_post(spark, sf):
     found = e.entity_vector_search(
         c.benchmark_queries(spark, sf), c.entities(spark, sf), 10, 0.1, context="EUROPE", post_filter=True
     )
-    return found.select("query_id", "rank", "id", "score", "name")
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "name")
 
 
 def text_sql(before: str, after: str = "true") -> str:
@@ -131,7 +131,7 @@ SELECT query_id, rank, id, score, name FROM found JOIN entities USING (id) WHERE
 @query("entity_text_search", text_sql("true"))
 def text(spark, sf):
     found = e.entity_text_search(c.name_queries(spark, sf), c.entities(spark, sf), 10)
-    return found.select("query_id", "rank", "id", "score", "name")
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "name")
 
 
 @query("entity_text_search_filtered", text_sql("list_has_any(labels, ['Supplier', 'Nation']) AND context_id = 'AFRICA'"))
@@ -140,13 +140,13 @@ def text_filtered(spark, sf):
         c.name_queries(spark, sf), c.entities(spark, sf), 10,
         metadata_filter=Eq("context_id", "AFRICA"), entity_filter=HasAnyLabel(["Supplier", "Nation"]),
     )
-    return found.select("query_id", "rank", "id", "score", "name")
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "name")
 
 
 @query("entity_text_search_post_filtered", text_sql("true", "context_id = 'AFRICA'"))
 def text_post(spark, sf):
     found = e.entity_text_search(c.name_queries(spark, sf), c.entities(spark, sf), 10, context="AFRICA", post_filter=True)
-    return found.select("query_id", "rank", "id", "score", "name")
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "name")
 
 
 @query("related_outgoing", f"""
