@@ -26,6 +26,8 @@ QUERY_BLOCK_ROWS = 16_384
 SLICE_ROWS, SLICE_QUERIES = 1024, 2048
 HITS = "query_id string, id string, score double"
 EVERYWHERE = -1
+#: More than a matrix product of unit vectors can be off.
+MATRIX_ERROR = 1e-9
 #: Share of the cells that an approximate search visits by default.
 PROBED = 0.7
 
@@ -60,18 +62,20 @@ class Best:
         self.floors = np.full(queries, -np.inf)
         self.held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def offer(self, members: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Scores of corpus rows (down) for the queries ``members`` (across)."""
+    def offer(self, members: np.ndarray, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, unit: np.ndarray) -> None:
+        """Scores of corpus ``rows`` (down) for the queries ``members`` (across)."""
         peaks = scores.max(axis=0)
-        for at in np.flatnonzero((peaks >= self.floors[members]) & (peaks > -np.inf)):
-            self._keep(int(members[at]), scores[:, at], ids)
+        for at in np.flatnonzero((peaks >= self.floors[members] - MATRIX_ERROR) & (peaks > -np.inf)):
+            self._keep(int(members[at]), scores[:, at], ids, rows, unit[:, at])
 
-    def _keep(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        near = np.flatnonzero((scores >= self.floors[q]) & (scores > -np.inf))
+    def _keep(self, q: int, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, asked: np.ndarray) -> None:
+        near = np.flatnonzero((scores >= self.floors[q] - MATRIX_ERROR) & (scores > -np.inf))
         if len(near) > self.k:
             kept = scores[near]
-            near = near[kept >= np.partition(kept, len(kept) - self.k)[len(kept) - self.k]]
-        scores, ids = scores[near], ids[near]
+            near = near[kept >= np.partition(kept, len(kept) - self.k)[len(kept) - self.k] - MATRIX_ERROR]
+        # a matrix product may give equal rows last digits of their own; summed
+        # up row by row, equal vectors have equal scores
+        scores, ids = (rows[near] * asked).sum(axis=1), ids[near]
         if q in self.held:
             scores = np.concatenate([self.held[q][0], scores])
             ids = np.concatenate([self.held[q][1], ids])
@@ -117,7 +121,7 @@ def scan_kernel(query_ids: list[str], vectors: np.ndarray, cells: list[list[int]
                         asked = members[j : j + SLICE_QUERIES]
                         scores = rows[part] @ unit[:, asked]
                         scores[np.isnan(scores)] = -np.inf
-                        best.offer(asked, scores, ids[part])
+                        best.offer(asked, scores, ids[part], rows[part], unit[:, asked])
         for q, (scores, ids) in best.held.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([query_ids[q]] * len(ids), pa.string()), pa.array(ids, pa.string()), pa.array(scores, pa.float64())],
