@@ -155,7 +155,15 @@ class WordMemo:
     def ids(self, words: list, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many belong to each text when the
         texts have ``per_text`` words each."""
-        place = self.places(words)
+        return self._spread(self.places(words), per_text)
+
+    def column_ids(self, words: pa.Array, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for an Arrow column of words; only distinct ones become Python strings."""
+        coded = words.dictionary_encode()
+        place = self.places(coded.dictionary.to_pylist())
+        return self._spread(place[coded.indices.to_numpy(zero_copy_only=False)], per_text)
+
+    def _spread(self, place: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = self.counts[place]
         sums = np.concatenate([[0], np.cumsum(counts)])
         ends = np.cumsum(per_text)

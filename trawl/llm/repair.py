@@ -26,16 +26,21 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trawl.llm.batches import WordMemo, filled, narrowed, ragged, slices
+from trawl.llm.batches import WordMemo, narrowed, ragged, slices
 
 SHARD_IDS = 1 << 20
-MIN_PAIRS = 24
+#: Bytes of text encoded at a time.
+ENCODED_BYTES = 6 << 20
+MIN_PAIRS = 32
 #: A round replaces all pairs that stand at least this share of the most frequent one's times.
-ROUND_SHARE = 0.1
+ROUND_SHARE = 0.05
+#: Runs of marks whose ids are remembered.
+MARKS_KEPT = 10_000
 MAGIC = b"RPG1"
 SLOTS = 18
 
@@ -166,12 +171,13 @@ class Encoder:
     """A tokenizer that drops white space and case, with a memory of words.
 
     Words are what stands between ASCII blanks, A-Z lower-cased.  Words of
-    small Latin letters, with a full stop or comma at most, go to the
-    tokenizer's model one by one; the others go through the whole tokenizer,
-    many in one string, told apart by offsets.
+    small Latin letters, with ASCII marks behind them at most, go to the
+    tokenizer's model one by one, and such marks are encoded once; the others
+    go through the whole tokenizer, many in one string, told apart by offsets.
     """
 
-    PLAIN = re.compile("[a-zß-öø-ÿ]+")
+    # marks without the apostrophe, which the tokenizer may cut elsewhere
+    PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
     TOGETHER = 2000
 
     def __init__(self, path: str):
@@ -183,7 +189,7 @@ class Encoder:
         self.alphabet = self.tokenizer.get_vocab_size()
         self.letters = byte_letters()
         self.model = self.tokenizer.model
-        self.marks = {m: self.tokenizer.token_to_id(m + "</w>") for m in ".,"}
+        self.marks: dict[str, list[int]] = {"": []}
         sample = "Élan, vital. Été ab"
         if [i for w in sample.lower().split() for i in self._plain(w)] != self.tokenizer.encode(sample, add_special_tokens=False).ids:
             raise ValueError("a byte-level tokenizer with word ends, without case and white space is needed")
@@ -191,20 +197,25 @@ class Encoder:
 
     def _plain(self, word: str) -> list[int] | None:
         """The ids of a plain word, None for others."""
-        mark = self.marks.get(word[-1])
-        body = word if mark is None else word[:-1]
-        if not self.PLAIN.fullmatch(body):
+        if not word:
+            return []
+        found = self.PLAIN.fullmatch(word)
+        if found is None:
             return None
+        body, marks = found.groups()
         if not body.isascii():
             body = body.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(body)]
-        return ids if mark is None else [*ids, mark]
-
-    def _bulk(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [w.decode() for w in words]
-        ids = list(map(self._plain, texts))
+        behind = self.marks.get(marks)
+        if behind is None:
+            behind = self.tokenizer.encode(marks, add_special_tokens=False).ids
+            if len(self.marks) < MARKS_KEPT:
+                self.marks[marks] = behind
+        return [t.id for t in self.model.tokenize(body)] + behind
+
+    def _bulk(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = list(map(self._plain, words))
         plain = np.fromiter((x is not None for x in ids), dtype=bool, count=len(ids))
-        others = [t for t, x in zip(texts, ids) if x is None]
+        others = [w for w, x in zip(words, ids) if x is None]
         ids = [x for x in ids if x is not None]
         flats = [np.fromiter(chain.from_iterable(ids), dtype=np.uint32)]
         counts = [np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))]
@@ -221,11 +232,12 @@ class Encoder:
         starts[order], given[order] = np.cumsum(count) - count, count
         return np.concatenate(flats)[ragged(starts, given)], given
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and how many each has."""
-        found = [t.encode().lower().split() for t in texts]
-        per_text = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return self.memo.ids(list(chain.from_iterable(found)), per_text)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has; null as empty.
+
+        Lower-casing and cutting are Arrow's, so that only distinct words reach Python."""
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        return self.memo.column_ids(cut.flatten(), np.diff(cut.offsets.to_numpy()).astype(np.int64))
 
 
 @lru_cache(maxsize=2)
@@ -257,8 +269,8 @@ def write_ids(
                 "grammar": pa.array([compress(ids, coder.alphabet)], pa.binary()),
             })
 
-        for piece in slices(batches):
-            flat, counts = coder.encode(filled(piece.column("text")))
+        for piece in slices(batches, most=ENCODED_BYTES):
+            flat, counts = coder.encode(piece.column("text"))
             ends = np.cumsum(counts)
             flat, counts = np.insert(flat, ends, end_id), counts + 1
             docs += piece.column("id").to_pylist()
