@@ -293,6 +293,31 @@ def test_units_match_brute_force(spark):
     assert {tuple(r) for r in units.repeated_units(df).select("id", "start", "stop", "kept_id", "kept_start").collect()} == want
 
 
+def test_whole_lines_go_as_in_plain_line_hashing(spark):
+    rng = np.random.default_rng(8)
+    say = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 40, n))
+    bank = ["Oh.", "So it is.", "}", "Short. Then a sentence of rather more than eight words follows here.", "Yes. No. Perhaps so."]
+    bank += [". ".join(say(rng.integers(1, 12)) for _ in range(rng.integers(1, 5))) + "." for _ in range(20)]
+    docs = {i: "\n".join(x.upper() if i % 3 else x.replace(" ", " \u00a0") for x in rng.choice(bank, 9)) for i in range(25)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    gone = {i: set() for i in docs}
+    for r in units.repeated_units(df).collect():
+        gone[r.id].update(range(r.start, r.stop))
+    seen, checked = set(), 0
+    for i, text in sorted(docs.items()):
+        at = 0
+        for line in text.split("\n"):
+            key = " ".join(line.lower().split())
+            if key in seen:
+                checked += 1
+                assert all(c.isspace() or at + k in gone[i] for k, c in enumerate(line))
+            elif key == "oh.":
+                assert at not in gone[i]
+            seen.add(key)
+            at += len(line) + 1
+    assert checked > 150
+
+
 # -- 8 ----------------------------------------------------------------------
 
 

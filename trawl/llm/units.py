@@ -1,16 +1,17 @@
 """Repeated lines removed: every unit of text stays where it stands first.
 
-A text's lines are cut again after sentence ends, as passages are often
-pasted within a line; these are its units.  A unit is normalised (lower case,
-single blanks) and hashed to 128 bits.  Of all units with one digest, in the
-whole corpus, the first stays, by the order of ids and places; the rest are
-removed.  What a digest's group sends on is its first place, combined ahead of
-the shuffle, so that no task gathers a group.
-
-Short units ("Of it.") repeat by chance.  One of fewer than ``MIN_WORDS``
+Units are of two levels.  A whole line, of any length and at any place, is
+one; as passages are often pasted within a line, its sentences are units too.
+A unit is normalised (lower case, single blanks) and hashed to 128 bits.  Of
+all units with one digest, in the whole corpus, the first stays, by the order
+of ids and places; the rest are removed.  What a digest's group sends on is its
+first place, combined ahead of the shuffle, so that no task gathers a group.
+
+Short sentences ("Of it.") repeat by chance.  One of fewer than ``MIN_WORDS``
 words is hashed together with as many units before it as make up that number,
-so it goes only where these stand again too; at the beginning of a text it
-stays.
+so it goes only where these stand again too.  Where its own line does not
+reach back that far, it is hashed with its whole line as well.  So a line that
+stands again goes with all its sentences, blanks between them aside.
 
 Null and empty texts have no units.  Null ids come last in the order.  Rows
 with one id and equal texts count as one text and share their removals.  An
@@ -31,32 +32,45 @@ from pyspark.sql import functions as F
 from trawl.llm.batches import filled, free_name, narrowed, slices
 from trawl.plans.lineage import materialize
 
-CUT = re.compile(r"[.!?…][\"'”’»)\]]*[ \t]+|\n+")
+CUT = re.compile(r"[.!?…][\"'”’»)\]]*\s+|\n+")
 MIN_WORDS = 8
 UNITS = "id long, tag long, start int, stop int, high long, low long"
 
 
 def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
-    """(start, stop, digest) of the units that may be removed; offsets in characters."""
+    """(start, stop, digest) of the units that may be removed; offsets in
+    characters.  A sentence may stand twice, by its line and by what is before it."""
     out = []
     first = 0
+    line: list[tuple[int, int, int, str]] = []  # start, stop, words and text of the line's sentences
     before: list[tuple[int, str]] = []  # words and text of earlier units, as many as short ones need
+    digest = xxhash.xxh3_128_digest
     for cut in [*(m.end() for m in CUT.finditer(text)), len(text)]:
-        words = text[first:cut].lower().split()
+        piece = text[first:cut]
+        words = piece.lower().split()
         if words:
-            unit, count = " ".join(words), len(words)
-            key = unit
-            if count < min_words:
+            start = first + len(piece) - len(piece.lstrip())
+            line.append((start, first + len(piece.rstrip()), len(words), " ".join(words)))
+        first = cut
+        if not line or cut < len(text) and "\n" not in piece:
+            continue
+        whole = " ".join(unit for *_, unit in line)
+        reach = 0
+        for place, (start, stop, count, unit) in enumerate(line):
+            reach += count
+            if reach < min_words:
+                # no other key has an empty line in it
+                out.append((start, stop, digest(f"{whole}\n\n{place}" if len(line) > 1 else whole)))
+            key, total = unit, count
+            if total < min_words:
                 for more, earlier in reversed(before):
-                    key, count = f"{earlier}\n{key}", count + more
-                    if count >= min_words:
+                    key, total = f"{earlier}\n{key}", total + more
+                    if total >= min_words:
                         break
-            if count >= min_words:
-                piece = text[first:cut]
-                start = first + len(piece) - len(piece.lstrip())
-                out.append((start, first + len(piece.rstrip()), xxhash.xxh3_128_digest(key)))
-            before = [*before[-min_words:], (len(words), unit)]
-        first = cut
+            if total >= min_words:
+                out.append((start, stop, digest(key)))
+            before = [*before[-min_words:], (count, unit)]
+        line = []
     return out
 
 
