@@ -76,6 +76,33 @@ def test_grammar_decodes_any_stretch(alphabet):
     assert repair.Grammar(repair.compress(ids[:0], alphabet)).ids().tolist() == []
 
 
+def apart(symbols):
+    """How often each pair stands, without overlaps."""
+    times, last = {}, {}
+    for at, pair in enumerate(zip(symbols, symbols[1:])):
+        if last.get(pair) != at - 1:
+            times[pair], last[pair] = times.get(pair, 0) + 1, at
+    return times
+
+
+@pytest.mark.parametrize("alphabet", [300, 70_000])
+def test_grammar_goes_on_until_no_pair_stands_twice(alphabet):
+    rng = np.random.default_rng(9)
+    bank = [rng.integers(0, 40, rng.integers(2, 9)) for _ in range(60)]
+    for ids in (np.concatenate([bank[x] for x in rng.integers(0, 60, 400)]), np.array([7, 8, 9, 7, 8]), np.full(31, 4)):
+        grammar = repair.Grammar(repair.compress(ids.astype(np.uint32), alphabet))
+        assert grammar.ids().tolist() == ids.tolist() and len(grammar.left) > 0
+        assert max(apart(grammar.symbols.tolist()).values(), default=0) < 2
+        times = apart(ids.tolist())
+        assert times[int(grammar.left[0]), int(grammar.right[0])] == max(times.values())
+    # 1 2 stands most often, so it is replaced ahead of 0 1, which overlaps with it
+    grammar = repair.Grammar(repair.compress(np.array([0, 1, 2] * 19 + [1, 2], dtype=np.uint32), alphabet))
+    assert (grammar.left[0], grammar.right[0]) == (1, 2)
+    # what is left of a pair is counted anew: 2 3 stands alone once only
+    grammar = repair.Grammar(repair.compress(np.array([1, 2, 3] * 19 + [9, 1, 2, 8, 2, 3], dtype=np.uint32), alphabet))
+    assert (2, 3) not in set(zip(grammar.left.tolist(), grammar.right.tolist()))
+
+
 # -- 2 ----------------------------------------------------------------------
 
 

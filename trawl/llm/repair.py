@@ -4,8 +4,10 @@ Texts go to tasks by ranges of their id, in order.  A task encodes its texts
 with a tokenizer of the tokenizers library, appends the end id to each and
 cuts the ids into shards of whole documents.  In each shard, frequent pairs of
 neighbouring symbols are replaced by new symbols again and again, the most
-frequent pairs first, until no pair stands ``MIN_PAIRS`` times or no free
-symbol is left.  A shard is a row of a Parquet table: the rules, the length
+frequent pairs first, until no pair stands twice or no free symbol is left.
+A round replaces pairs that stand about equally often; where they overlap the
+more frequent one wins, and one that stands less often by that waits for the
+next count.  A shard is a row of a Parquet table: the rules, the length
 that every rule expands to, the remaining symbols, and where each document
 begins.  With the lengths any stretch of ids is decoded alone.
 
@@ -36,9 +38,9 @@ from trawl.llm.batches import WordMemo, narrowed, ragged, slices
 SHARD_IDS = 1 << 20
 #: Bytes of text encoded at a time.
 ENCODED_BYTES = 6 << 20
-MIN_PAIRS = 32
+MIN_PAIRS = 2
 #: A round replaces all pairs that stand at least this share of the most frequent one's times.
-ROUND_SHARE = 0.05
+ROUND_SHARE = 0.9
 #: Runs of marks whose ids are remembered.
 MARKS_KEPT = 10_000
 MAGIC = b"RPG1"
@@ -55,17 +57,45 @@ def _slot(pairs: np.ndarray) -> np.ndarray:
     return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
-def _frequent(pairs: np.ndarray, free: int) -> np.ndarray:
-    """The pairs to replace in this round, most frequent first."""
+def _apart(pairs: np.ndarray) -> np.ndarray:
+    """Where a pair does not overlap with an equal one: every other place of a run, from the left."""
+    alone = np.ones(len(pairs), dtype=bool)
+    again = np.flatnonzero(pairs[1:] == pairs[:-1]) + 1
+    if len(again):
+        begin = np.r_[True, np.diff(again) != 1]
+        run = np.maximum.accumulate(np.where(begin, np.arange(len(again)), 0))
+        alone[again[(np.arange(len(again)) - run) % 2 == 0]] = False
+    return alone
+
+
+def _frequent(pairs: np.ndarray, free: int) -> tuple[np.ndarray, float]:
+    """The pairs to replace in this round, most frequent first, and the times each must stand."""
     ordered = np.sort(pairs)
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     times = np.diff(np.r_[first, len(ordered)])
-    enough = np.flatnonzero(times >= max(MIN_PAIRS, ROUND_SHARE * times.max()))
+    least = max(MIN_PAIRS, ROUND_SHARE * times.max())
+    enough = np.flatnonzero(times >= least)
     best = enough[np.argsort(-times[enough], kind="stable")][:free]
     chosen = ordered[first[best]]
     # pairs that meet in a slot wait for a later round
     _, alone = np.unique(_slot(chosen.astype(np.uint64)), return_index=True)
-    return chosen[np.sort(alone)] if times.max() >= MIN_PAIRS else chosen[:0]
+    return chosen[np.sort(alone)], least
+
+
+def _settled(hits: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which hits are replaced: of overlapping ones the more frequent pair's."""
+    taken = np.zeros(len(hits), dtype=bool)
+    left = np.arange(len(hits))
+    while len(left):
+        at, r = hits[left], rank[left]
+        touch = np.diff(at) == 1
+        wins = np.r_[True, ~touch | (r[1:] < r[:-1])] & np.r_[~touch | (r[:-1] <= r[1:]), True]
+        taken[left[wins]] = True
+        out = wins.copy()
+        out[1:] |= touch & wins[:-1]
+        out[:-1] |= touch & wins[1:]
+        left = left[~out]
+    return taken
 
 
 def compress(ids: np.ndarray, alphabet: int) -> bytes:
@@ -80,23 +110,27 @@ def compress(ids: np.ndarray, alphabet: int) -> bytes:
     n_rules = 0
     known = np.zeros(0, dtype=np.uint32)
     table = np.zeros(1 << SLOTS, dtype=wide)
-    number = np.zeros(1 << SLOTS, dtype=kind)
+    rank = np.zeros(1 << SLOTS, dtype=np.int64)
     while len(symbols) > 1 and n_rules < limit:
         pairs = symbols[:-1].astype(wide) << shift | symbols[1:]
-        chosen = _frequent(pairs, limit - n_rules)
+        alone = _apart(pairs)
+        chosen, least = _frequent(pairs[alone], limit - n_rules)
         if not len(chosen):
             break
         table[:] = ~wide(0)
         at = _slot(chosen.astype(np.uint64))
         table[at] = chosen
-        number[at] = alphabet + n_rules + np.arange(len(chosen))
+        rank[at] = np.arange(len(chosen))
         slots = _slot(pairs.astype(np.uint64))
-        hits = np.flatnonzero(table[slots] == pairs)
-        # of overlapping places every other one, from the left
-        begin = np.r_[True, np.diff(hits) != 1]
-        run = np.maximum.accumulate(np.where(begin, np.arange(len(hits)), 0))
-        hits = hits[(np.arange(len(hits)) - run) % 2 == 0]
-        symbols[hits] = number[slots[hits]]
+        hits = np.flatnonzero((table[slots] == pairs) & alone)
+        order = rank[slots[hits]]
+        taken = _settled(hits, order)
+        # a pair that others took places from waits until it is counted again
+        held = np.bincount(order[taken], minlength=len(chosen)) >= least
+        hits, order = hits[taken & held[order]], order[taken & held[order]]
+        chosen = chosen[held]
+        numbers = (alphabet + n_rules + np.cumsum(held) - 1).astype(kind)
+        symbols[hits] = numbers[order]
         stay = np.ones(len(symbols), dtype=bool)
         stay[hits + 1] = False
         symbols = symbols[stay]
