@@ -345,6 +345,13 @@ def test_whole_lines_go_as_in_plain_line_hashing(spark):
     assert checked > 150
 
 
+def test_wholly_cut_texts_go(spark):
+    one, two = "One line of the corpus that stands in several texts.", "Another line of the corpus that stands in several texts."
+    docs = [(1, f"{one}\n\n{two}\nMore."), (2, one), (3, f"{one}\n\n{two}\n"), (4, f"{two} {one}\u00a0"), (5, f"{one}\nIts own."), (6, ""), (7, None), (8, "\n")]
+    left = {r.doc_id: r.text for r in units.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert left == {1: docs[0][1], 5: "\nIts own.", 6: "", 7: None, 8: "\n"}
+
+
 # -- 8 ----------------------------------------------------------------------
 
 

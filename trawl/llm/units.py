@@ -33,6 +33,8 @@ from trawl.llm.batches import filled, free_name, narrowed, slices
 from trawl.plans.lineage import materialize
 
 CUT = re.compile(r"[.!?…][\"'”’»)\]]*\s+|\n+")
+#: A character that is no white space, by Python's rule for the cut units.
+INK = r"(?U)[^\s\x1c-\x1f]"
 MIN_WORDS = 8
 UNITS = "id long, tag long, start int, stop int, high long, low long"
 
@@ -106,10 +108,8 @@ def repeated_units(rows: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
-def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows with the spans (id, tag, start, stop) cut out of their text, and
-    ``kept_spans``: where in the original each remaining stretch stood (with
-    underscores in front where the name is taken)."""
+def _cut(rows: DataFrame, spans: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``remove_spans``, with a last column that tells whether anything was cut."""
     own = "_units_"
     gone = spans.groupBy(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag")).agg(
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias(own + "gone")
@@ -133,16 +133,25 @@ def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", t
     cut = F.when(spots.isNull(), text).otherwise(left).alias(text_column)
     columns = [cut if c == text_column else rows[c] for c in rows.columns]
     added = free_name("kept_spans", rows.columns)
-    return joined.select(*columns, F.when(spots.isNull(), whole).otherwise(kept).alias(added))
+    touched = free_name(own + "touched", rows.columns)
+    return joined.select(*columns, F.when(spots.isNull(), whole).otherwise(kept).alias(added), spots.isNotNull().alias(touched))
+
+
+def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows with the spans (id, tag, start, stop) cut out of their text, and
+    ``kept_spans``: where in the original each remaining stretch stood (with
+    underscores in front where the name is taken)."""
+    cut = _cut(rows, spans, id_column, text_column)
+    return cut.drop(cut.columns[-1])
 
 
 def without_repeats(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", size_column: str | None = None) -> DataFrame:
-    """The rows, all columns kept, without their repeated units; texts of which
-    nothing but blanks is left go.  ``size_column`` is set to the new length."""
-    cut = remove_spans(rows, repeated_units(rows, id_column, text_column), id_column, text_column)
-    cut = cut.drop(cut.columns[-1])
+    """The rows, all columns kept, without their repeated units; texts that were
+    cut and have nothing but white space left go.  ``size_column`` is set to the new length."""
+    cut = _cut(rows, repeated_units(rows, id_column, text_column), id_column, text_column)
+    spots, touched = cut.columns[-2:]
     text = F.col(text_column)
-    changed = cut.where(text.isNull() | (F.length(F.trim(text)) > 0) | (F.length(text) == 0))
+    changed = cut.where(~F.col(touched) | text.rlike(INK)).drop(spots, touched)
     if size_column in rows.columns:
         kind = rows.schema[size_column].dataType
         changed = changed.withColumn(size_column, F.when(text.isNull(), F.col(size_column)).otherwise(F.length(text)).cast(kind))
