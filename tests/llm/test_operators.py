@@ -268,6 +268,16 @@ def test_viterbi_is_optimal():
         first += n
 
 
+@pytest.mark.parametrize("n_languages", [130, 300])
+def test_viterbi_with_many_languages(n_languages):
+    scores = np.zeros((6, n_languages))
+    scores[[0, 1, 2], n_languages - 1] = scores[[3, 4, 5], 129] = 50.0
+    if n_languages == 130:
+        scores[[3, 4, 5]] = np.roll(scores[[3, 4, 5]], -1, axis=1)
+    want = [n_languages - 1] * 3 + [128 if n_languages == 130 else 129] * 3
+    assert langid.best_paths(scores, np.array([6]), 2.0).tolist() == want
+
+
 def test_language_spans(spark, rows, empty):
     say = {"en": "the cat and the dog went out into the rain", "de": "der hund und die katze gingen hinaus in den regen", "el": "η γάτα και ο σκύλος"}
     taught = spark.createDataFrame([(t, k) for k, t in say.items()] * 5 + [(None, "en"), ("x", None)], "text string, lang string")

@@ -170,7 +170,8 @@ def best_paths(scores: np.ndarray, per_text: np.ndarray, penalty: float) -> np.n
     # texts still running at each step
     running = len(hard) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")
     value = scores[begins].copy()
-    came = [np.zeros((0, n_languages), dtype=np.int8)]
+    kind = np.min_scalar_type(n_languages)
+    came = [np.zeros((0, n_languages), dtype=kind)]
     same = np.arange(n_languages)
     for step in range(1, int(lengths[0])):
         k = running[step]
@@ -178,7 +179,7 @@ def best_paths(scores: np.ndarray, per_text: np.ndarray, penalty: float) -> np.n
         top = now.argmax(axis=1)
         changed = now[np.arange(k), top] - penalty
         switch = changed[:, None] > now
-        came.append(np.where(switch, top[:, None], same).astype(np.int8))
+        came.append(np.where(switch, top[:, None], same).astype(kind))
         value[:k] = np.where(switch, changed[:, None], now) + scores[begins[:k] + step]
     state = value.argmax(axis=1)
     for step in range(int(lengths[0]) - 1, -1, -1):
