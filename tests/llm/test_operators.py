@@ -422,6 +422,22 @@ def test_overlaps_tolerate_substitutions(spark, rows, empty):
     assert decontam.overlaps(df, benchmark.limit(0)).count() == 0
 
 
+def test_short_items_tolerate_substitutions(spark):
+    from itertools import combinations
+
+    docs, want = [], set()
+    benchmark = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(1, decontam.SHORTEST)]
+    for n, text in benchmark:
+        for many in range(min(n, 3) + 1):
+            for gone in combinations(range(n), many):
+                part = ["changed" if k in gone else w for k, w in enumerate(text.split())]
+                if n - many >= 0.8 * n:
+                    want.add((len(docs), n, 2, n - many))
+                docs.append((len(docs), " ".join(["a", "b", *part, "c"])))
+    found = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(benchmark, "item_id long, text string"))
+    assert {(r.id, r.item, r.start, r.same) for r in found.collect()} == want
+
+
 # -- 10 ---------------------------------------------------------------------
 
 

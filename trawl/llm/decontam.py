@@ -9,7 +9,9 @@ word, and one with ``SIMILAR`` of its words equal is an overlap.
 
 The two masks together miss nothing: for every length from ``SHORTEST`` to
 ``WINDOW`` words, whichever fifth of a stretch is substituted, one of them
-fits in between.  Items of fewer words are looked for whole and unchanged.
+fits in between.  Items of fewer words have masks of their own length: their
+words fall into parts, more than twice as many as words may be substituted, and
+each mask ignores as many parts as that.
 
 All hashes of the benchmark are also held in a small bit table, a constant of
 the plan, that lets nearly all places of a text go before anything is
@@ -22,6 +24,7 @@ on either side gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+from itertools import combinations
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +59,13 @@ def _seed(words: Column, at: Column, mask: str) -> Column:
     return F.xxhash64(F.lit(mask), *[F.get(words, at + i) for i, one in enumerate(mask) if one == "1"])
 
 
+def short_masks(n: int) -> list[str]:
+    """Masks of n words, one of which ignores any fifth that is substituted."""
+    gone = int(n * (1 - SIMILAR) + 1e-9)
+    parts = 2 * gone + 1
+    return ["".join("0" if i * parts // n in out else "1" for i in range(n)) for out in combinations(range(parts), gone)]
+
+
 def _places(words: Column, span: int) -> Column:
     last = F.size(words) - span
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
@@ -119,11 +129,11 @@ def overlaps(
     item_words = hashed(words_of(F.coalesce("own_text", F.lit(""))))
     items = materialize(with_once(given, "item_words", item_words).drop("own_text").where("size(item_words) > 0").distinct())
     short = [n for (n,) in items.where(F.size("item_words") < SHORTEST).select(F.size("item_words")).distinct().collect()]
-    masks = [*MASKS, *("1" * n for n in sorted(short))]
-    # short items are hashed whole, others under the spaced masks
+    masks = [*MASKS, *(m for n in sorted(short) for m in short_masks(n))]
+    # short items are hashed under masks of their length, others under the spaced ones
     laid = F.when(F.size("item_words") >= SHORTEST, _seeds(F.col("item_words"), list(MASKS)))
     for n in sorted(short):
-        laid = laid.when(F.size("item_words") == n, _seeds(F.col("item_words"), ["1" * n]))
+        laid = laid.when(F.size("item_words") == n, _seeds(F.col("item_words"), short_masks(n)))
     seeds = materialize(items.select("item", F.explode(laid).alias("s")).select("item", F.col("s.at").alias("item_at"), "s.seed"))
     count = seeds.count()
     if not count:
