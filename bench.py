@@ -21,7 +21,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from trawl.operators import upsert  # noqa: E402
-from trawl.operators.fuzzy_search import fuzzy_search  # noqa: E402
+from trawl.operators.fuzzy_search import fuzzy_search, word_table  # noqa: E402
 from trawl.operators.hybrid_search import hybrid_search  # noqa: E402
 from trawl.operators.lexicon import document_frequencies  # noqa: E402
 from trawl.operators.lookup import statistics  # noqa: E402
@@ -70,6 +70,7 @@ def main() -> None:
     start = time.perf_counter()
     store = ContentStore(spark, f"{work}/store", buckets=int(cpus) * 2)
     store.save(c.elements(spark, sf_dir), upsert.save_chunks)
+    words = word_table(store.elements.read().where(is_chunk()))
     timings["ingest"] = round(time.perf_counter() - start, 3)
 
     elements, index = store.elements.read(), store.postings.read()
@@ -98,8 +99,8 @@ def main() -> None:
             f"vector_top10_{n}": lambda: run(vector_search(v, elements, 10)),
             f"vector_approximate_top10_{n}": lambda: run(nearest_approximate(v, cells, centres, 10)),
             f"text_top10_{n}": lambda: run(text_search(q, elements, 10, **indexed)),
-            f"fuzzy_top10_{n}": lambda: run(fuzzy_search(q, elements, 10)),
-            f"hybrid_top10_{n}": lambda: run(hybrid_search(q, elements, 10, **indexed)),
+            f"fuzzy_top10_{n}": lambda: run(fuzzy_search(q, elements, 10, words=words)),
+            f"hybrid_top10_{n}": lambda: run(hybrid_search(q, elements, 10, words=words, **indexed)),
         }
         for name, action in cases.items():
             action()

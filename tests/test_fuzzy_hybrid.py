@@ -105,3 +105,51 @@ def test_weights(chunks, make_queries):
     by_id = {r.id: r for r in rows}
     assert by_id["c3"].score == pytest.approx(by_id["c3"].text_score, abs=1e-6)
     assert by_id["c3"].text_score > by_id["c4"].text_score
+
+
+def random_words(seed: int, n: int):
+    import random
+
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.2, 0.35, 0.5, 1.0])
+def test_prefix_filter_finds_every_similar_word(spark, make_elements, make_queries, threshold):
+    from trawl.operators.fuzzy_search import token_similarities, word_table
+
+    vocabulary = sorted(set(random_words(1, 150)))
+    rows = [{"id": f"c{i}", "text": w, "labels": ["Chunk"]} for i, w in enumerate(vocabulary)]
+    asked = {f"q{i}": " ".join(random_words(50 + i, 1 + i % 4)) for i in range(20)} | {"none": "?!", "far": "zzzz yyyy"}
+    table = word_table(make_elements(rows))
+    got = {(r.query_id, r.word): r.similarity for r in token_similarities(make_queries(asked), table, threshold).collect()}
+    pairs = spark.createDataFrame([(q, t, w) for q, t in asked.items() for w in vocabulary], "q string, t string, w string")
+    want = {
+        (r.q, r.w): r.s
+        for r in pairs.select("q", "w", similarity(F.col("t"), F.col("w")).alias("s")).where(F.col("s") > threshold).collect()
+    }
+    assert got == want and (want or threshold == 1.0)
+
+
+@pytest.mark.parametrize("k", [1, 3, 1000])
+def test_best_matches_without_all_matches(spark, make_elements, make_queries, k):
+    from trawl.operators.fuzzy_search import best_fuzzy, word_table
+    from trawl.plans.topk import top_k
+
+    words = random_words(3, 40)
+    rows = [{"id": f"c{i:03}", "text": " ".join(words[(i * j) % 40] for j in range(1, 5)), "labels": ["Chunk"]} for i in range(120)]
+    chunks = make_elements(rows)
+    queries = make_queries({f"q{i}": w for i, w in enumerate(random_words(9, 12))})
+    pick = lambda df: sorted(tuple(r) for r in df.select("query_id", "rank", "id", "score").collect())
+    want = pick(top_k(fuzzy_matches(queries, chunks), k))
+    assert want and pick(best_fuzzy(queries, chunks, k)) == want
+    assert pick(best_fuzzy(queries, chunks, k, words=word_table(chunks))) == want
+
+
+def test_only_beginnings_of_sets_meet(spark, make_elements, make_queries):
+    from trawl.operators import fuzzy_search as fz
+
+    table = fz.word_table(make_elements([{"id": f"c{i}", "text": w, "labels": ["Chunk"]} for i, w in enumerate(random_words(4, 80))]))
+    sets = table.words.select("word", F.col("size").alias("nw"), "codes", F.lit(0).alias("missing"))
+    met = fz._beginnings(sets, "word", "nw", "codes", "at", 0.5, 10).count()
+    assert met < 0.75 * sets.agg(F.sum("nw")).first()[0]

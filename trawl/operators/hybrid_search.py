@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.ranking import share_of_one
 from trawl.functions.vectors import cosine_similarity
-from trawl.operators.fuzzy_search import FUZZY_THRESHOLD, check_threshold, fuzzy_matches
+from trawl.operators.fuzzy_search import FUZZY_THRESHOLD, WordTable, best_fuzzy, check_threshold
 from trawl.operators.lexicon import Analyzer
 from trawl.operators.text_search import text_matches
 from trawl.operators.vector_search import is_chunk
@@ -82,12 +82,14 @@ def hybrid_search(
     index: DataFrame | None = None,
     frequencies: DataFrame | None = None,
     index_covers_all: bool = False,
+    words: WordTable | None = None,
     payload: bool = True,
 ) -> DataFrame:
     """Weighted vector and text score of the text matches, best ``k`` first.
 
     A query left without a result after the threshold is answered by fuzzy
-    search; ``strategy`` tells which of the two answered.
+    search; ``strategy`` tells which of the two answered.  ``words`` is a
+    stored word table of the chunks for the latter.
     """
     check_threshold(fuzzy_threshold)
     chunks = elements.where(is_chunk())
@@ -102,6 +104,6 @@ def hybrid_search(
     )
     results = answered
     if not open_queries.isEmpty():
-        fuzzy = top_k(fuzzy_matches(open_queries, chunks, fuzzy_threshold), k)
+        fuzzy = best_fuzzy(open_queries, chunks, k, fuzzy_threshold, words=words)
         results = answered.unionByName(fuzzy.withColumn("strategy", F.lit("fuzzy")), allowMissingColumns=True)
     return with_payload(results, elements, bounded_rows(queries, k)) if payload else results

@@ -13,7 +13,7 @@ from trawl.functions.filters import Eq, HasAnyLabel, In
 from trawl.functions.trigrams import similarity
 from trawl.functions.vectors import cosine_similarity
 from trawl.operators import lexicon
-from trawl.operators.fuzzy_search import fuzzy_search
+from trawl.operators.fuzzy_search import fuzzy_search, word_table
 from trawl.operators.hybrid_search import hybrid_scores, hybrid_search
 from trawl.operators.query_terms import query_terms
 from trawl.operators.text_search import prefix_matches, text_matches, text_search
@@ -335,6 +335,16 @@ def fuzzy(spark, sf):
     return fuzzy_search(c.name_queries(spark, sf), texts(spark, sf), 10, payload=False).select(*shown())
 
 
+@query("fuzzy_search_word_table", f"""
+WITH {sql.CHUNKS}, {sql.SENTENCES}, {sql.fuzzy_matches("sentences")}, {sql.top_k("fuzzy_matches", "score", 5)}
+SELECT query_id, rank, id, rounded AS score FROM ranked
+""")
+def fuzzy_sentences(spark, sf):
+    """Sentences, whose sets are far larger than a word's, against a word table made before."""
+    chunks = materialize(texts(spark, sf).select("id", "text", "labels"))
+    return fuzzy_search(c.sentence_queries(spark, sf), chunks, 5, words=word_table(chunks), payload=False).select(*shown())
+
+
 # --- hybrid ----------------------------------------------------------------
 
 SCORED = """
