@@ -1,4 +1,6 @@
 import math
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +184,45 @@ def test_query_terms_rows(make_queries):
     }
     with pytest.raises(ValueError):
         query_terms(make_queries({"q": "x"}), "fancy")
+
+
+def test_rank_of_a_text_with_many_hits(spark):
+    """Near-linear: 50,000 hits, far pairs by their number."""
+    from trawl.functions.ranking import text_rank
+
+    rows = [(1, [list(range(1, 100_000, 4)), list(range(3, 100_000, 4))]), (2, [[1], [5000]]), (3, [[1, 400], [2]]), (4, [[7], []])]
+    df = spark.createDataFrame([(i, {"a": a, "b": b}) for i, (a, b) in rows], "id int, hits map<string,array<int>>")
+    rank = text_rank(F.col("hits"), F.array(F.lit("a"), F.lit("b")), F.lit(True))
+    start = time.perf_counter()
+    got = {r.id: r.rank for r in df.select("id", rank.alias("rank")).collect()}
+    # all pairs would be a billion steps; these are 5 million, interpreted
+    assert time.perf_counter() - start < 30
+    near = lambda d: (0.01 / (1.005 + 0.05 * math.exp(d / 1.5 - 2))) ** 0.5
+    assert got[1] == pytest.approx(1.0) and got[4] == 1e-20
+    assert got[2] == pytest.approx(1e-16, abs=1e-15) and got[3] == pytest.approx(near(1))
+
+
+def test_rank_equals_the_product_over_all_pairs(spark):
+    from trawl.functions.ranking import text_rank
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(60):
+        at = rng.sample(range(1, rng.choice([20, 150, 2000])), rng.randint(2, 18))
+        hits = {}
+        for p in at:
+            hits.setdefault(rng.choice("abc"), []).append(p)
+        rows.append((i, {t: sorted(ps) for t, ps in hits.items()}))
+    df = spark.createDataFrame(rows, "id int, hits map<string,array<int>>")
+    lexemes = F.array(*map(F.lit, "abc"))
+    got = {r.id: r.rank for r in df.select("id", text_rank(F.col("hits"), lexemes, F.lit(True)).alias("rank")).collect()}
+    for i, hits in rows:
+        left, pairs = 1.0, 0
+        for a in "abc":
+            for b in "abc":
+                for p in hits.get(a, []):
+                    for q in hits.get(b, []):
+                        if a < b:
+                            d, pairs = abs(p - q), pairs + 1
+                            left *= 1 - 0.1 * (1e-30 if d > 100 else 1 / (1.005 + 0.05 * math.exp(d / 1.5 - 2))) ** 0.5
+        assert got[i] == (pytest.approx(1 - left, abs=1e-12) if pairs else 1e-20)

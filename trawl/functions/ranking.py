@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 WEIGHT = 0.1
 SQUARES_LIMIT = 1.64493406685
 NEAR_OFFSET, NEAR_SCALE, NEAR_STRETCH, NEAR_SHIFT = 1.005, 0.05, 1.5, 2.0
-FAR, FAR_NEARNESS = 100, 1e-30
+FAR = 100
 NO_PAIR = 1e-20
+# What a pair of words further apart than FAR takes from one in double precision.
+FAR_CLOSENESS = 2.0 ** -53
 # Fixed value: the factor from a raw rank to a text score, capped at 1.
 TEXT_SCALE = 3.0
 
@@ -51,32 +53,52 @@ def _independent_rank(spots: Column) -> Column:
 
 def _nearness(distance: Column) -> Column:
     near = 1 / (NEAR_OFFSET + NEAR_SCALE * F.exp(distance / NEAR_STRETCH - NEAR_SHIFT))
-    return F.sqrt(WEIGHT * WEIGHT * F.when(distance > FAR, F.lit(FAR_NEARNESS)).otherwise(near))
+    return F.sqrt(WEIGHT * WEIGHT * near)
+
+
+def _all_pairs(spots: Column) -> Column:
+    """How many pairs of hits of different terms there are."""
+    sizes = F.transform(spots, lambda ps: F.size(ps).cast("double"))
+    total = F.aggregate(sizes, F.lit(0.0), lambda s, n: s + n)
+    return (total * total - F.aggregate(sizes, F.lit(0.0), lambda s, n: s + n * n)) / 2
 
 
 def _pairwise_rank(spots: Column) -> Column:
-    """1 - product over all pairs of hits of different terms of (1 - closeness)."""
-    placed = F.flatten(
-        F.transform(spots, lambda ps, i: F.transform(ps, lambda p: F.struct(i.alias("term"), p.alias("at"))))
-    )
+    """1 - product over all pairs of hits of different terms of (1 - closeness).
+
+    A position has one word, so at most ``FAR`` hits are near behind another
+    one: each hit meets these, in order.  All far pairs are equally far, so
+    their number is enough.
+    """
+    placed = F.array_sort(F.flatten(
+        F.transform(spots, lambda ps, i: F.transform(ps, lambda p: F.struct(p.alias("at"), i.alias("term"))))
+    ))
+    start = F.struct(F.lit(1.0).alias("left"), F.lit(0).cast("bigint").alias("near"))
+
+    def product(hits: Column) -> Column:
+        def against(a: Column, i: Column) -> Column:
+            last = F.least(i + FAR, F.size(hits) - 1)
+            behind = F.when(i < last, F.sequence(i + 1, last)).otherwise(F.array().cast("array<int>"))
+
+            def meet(s: Column, j: Column) -> Column:
+                b = F.get(hits, j)
+                closeness = _nearness((b["at"] - a["at"]).cast("double"))
+                both = F.struct((s["left"] * (1 - closeness)).alias("left"), (s["near"] + 1).alias("near"))
+                return F.when((b["term"] != a["term"]) & (b["at"] - a["at"] <= FAR), both).otherwise(s)
+
+            return F.aggregate(behind, start, meet)
 
-    def against(a: Column) -> Column:
         return F.aggregate(
-            placed,
-            F.lit(1.0),
-            lambda left, b: left
-            * F.when(
-                (b["term"] > a["term"]) & (b["at"] != a["at"]),
-                1 - _nearness(F.abs(b["at"] - a["at"]).cast("double")),
-            ).otherwise(F.lit(1.0)),
+            F.transform(hits, against), start,
+            lambda s, x: F.struct((s["left"] * x["left"]).alias("left"), (s["near"] + x["near"]).alias("near")),
         )
 
-    apart = F.aggregate(placed, F.lit(1.0), lambda left, a: left * against(a))
-    everywhere = F.flatten(spots)
-    has_pair = (F.size(F.filter(spots, lambda ps: F.size(ps) > 0)) > 1) & (
-        F.array_min(everywhere) != F.array_max(everywhere)
-    )
-    return F.when(has_pair, 1 - apart).otherwise(F.lit(NO_PAIR))
+    # a lambda's variable is worked out once; an expression within a lambda, for each of its calls
+    met = F.transform(F.array(placed), product)[0]
+    pairs = _all_pairs(spots)
+    far = lambda near: 1 - (pairs - near) * FAR_CLOSENESS
+    rank = F.transform(F.array(met), lambda m: 1 - m["left"] * far(m["near"]))[0]
+    return F.when(pairs > 0, rank).otherwise(F.lit(NO_PAIR))
 
 
 def text_rank(hits: Column, lexemes: Column, conjunction: Column) -> Column:

@@ -130,17 +130,23 @@ spots AS (
          row_number() OVER (PARTITION BY m.query_id, m.id, p.lexeme ORDER BY p.pos) AS j
   FROM matched m JOIN all_terms t USING (query_id) JOIN post p ON p.id = m.id AND p.lexeme = t.lexeme
 ),
-against AS (
-  SELECT a.query_id, a.id, a.lexeme, a.pos,
-         list_reduce(list(1 - sqrt(0.1::DOUBLE * 0.1::DOUBLE * CASE WHEN abs(a.pos - b.pos) > 100 THEN 1e-30
-              ELSE 1 / (1.005::DOUBLE + 0.05::DOUBLE * exp(abs(a.pos - b.pos) / 1.5::DOUBLE - 2)) END)
-           ORDER BY b.lexeme, b.pos), lambda x, y: x * y) AS left_over
-  FROM spots a JOIN spots b ON a.query_id = b.query_id AND a.id = b.id AND a.lexeme < b.lexeme AND a.pos <> b.pos
+near AS (
+  SELECT a.query_id, a.id, a.pos, count(*) AS n,
+         list_reduce(list(1 - sqrt(0.1::DOUBLE * 0.1::DOUBLE * (1 / (1.005::DOUBLE + 0.05::DOUBLE * exp((b.pos - a.pos) / 1.5::DOUBLE - 2))))
+           ORDER BY b.pos), lambda x, y: x * y) AS left_over
+  FROM spots a JOIN spots b ON a.query_id = b.query_id AND a.id = b.id AND a.lexeme <> b.lexeme
+   AND b.pos > a.pos AND b.pos <= a.pos + 100
   GROUP BY ALL
 ),
+met AS (
+  SELECT query_id, id, list_reduce(list(left_over ORDER BY pos), lambda x, y: x * y) AS left_over, sum(n) AS near
+  FROM near GROUP BY query_id, id
+),
+sizes AS (SELECT query_id, id, lexeme, count(*) AS n FROM spots GROUP BY ALL),
+pairs AS (SELECT query_id, id, (sum(n) * sum(n) - sum(n * n)) / 2 AS pairs FROM sizes GROUP BY query_id, id),
 apart AS (
-  SELECT query_id, id, 1 - list_reduce(list(left_over ORDER BY lexeme, pos), lambda x, y: x * y) AS raw_rank
-  FROM against GROUP BY query_id, id
+  SELECT query_id, id, 1 - coalesce(left_over, 1::DOUBLE) * (1 - (pairs - coalesce(near, 0)) * 1.1102230246251565e-16::DOUBLE) AS raw_rank
+  FROM pairs LEFT JOIN met USING (query_id, id) WHERE pairs > 0
 ),
 per_lexeme AS (
   SELECT query_id, id, lexeme, list_reduce(list(0.1::DOUBLE / (j * j) ORDER BY j), lambda x, y: x + y) AS part
