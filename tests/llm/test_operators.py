@@ -463,3 +463,58 @@ def test_crc_is_of_all_ids(spark, rows, tmp_path):
     ids = {(r.id, r.start): r.ids for r in repair.read_ids(spark, str(tmp_path / "c")).collect()}
     for r in repair.read_digests(spark, str(tmp_path / "c")).collect():
         assert r.crc32 == zlib.crc32(np.array(ids[r.id, r.start], dtype="<u4").tobytes())
+
+
+# -- names, letters, marks, long stretches ------------------------------------
+
+
+def test_taken_and_odd_names(spark):
+    text = "A whole line of some more words than eight stands here."
+    extra = "doc_id long, text string, lang string, _units_id long, _units_tag int, __units_x int, _simhash_id2 int, _leak_tag int, held int, `a.b` int, `c``d` int"
+    docs = spark.createDataFrame([(i, t, "en", 1, 2, 3, 4, 5, 6, 7, 8) for i, t in ((1, text), (2, text), (3, f"{text} And one."), (4, None))], extra)
+    assert sorted(r.doc_id for r in units.without_repeats(docs).collect()) == [1, 3, 4]
+    left = simhash.one_of_each(docs, words=4, bits=4)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} - {3} == {1, 4}
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    clean = decontam.without_overlaps(docs, items)
+    assert clean.columns == docs.columns and [r.doc_id for r in clean.collect()] == [4]
+    kept = langid.in_one_language(docs, langid.fit(docs))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+
+
+def test_numbers_are_no_letters_and_marks_belong_to_words(spark):
+    taught = spark.createDataFrame([("a house stands", "en"), ("हिन्दी भाषा में", "hi")], "text string, lang string")
+    model = langid.fit(taught)
+    got = langid._label(["½ ²", "Ⅷ ③ 12", "्", "हिन्दी", "x²"], model, langid.PENALTY)
+    assert got["lang"][:3] == ["und"] * 3 and got["lang"][3] == "hi" and got["score"][:3] == [0.0] * 3
+    assert [len(langid.WORD.findall(t)) for t in ("हिन्दी", "été", "x²y")] == [1, 1, 2]
+    assert got["lang"][4] in ("en", "hi")
+
+
+def test_marks_of_the_tokenizer_are_ids_as_in_the_library(spark, tmp_path):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    marks = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    texts = ["plain words", *(f"Some {m}text {m} {m.upper()} END" for m in marks), "".join(marks), None, "more, of it."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    repair.write_ids(rows, path, str(tmp_path / "m"), 1)
+    got = {r.id: list(r.ids) for r in repair.read_ids(spark, str(tmp_path / "m")).collect()}
+    assert got == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
+def test_long_stretches_take_a_heap():
+    import time
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    merger, library = pieces.Merger(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(1)
+    letters = list("etaoinshrdlucmfwypvbgkqjxz0123456789+/ABCDEFG中文字語😀é")
+    for n in (pieces.LONG_STRETCH + 1, 20_000):
+        for pool in (letters, letters[:4], ["a"]):
+            text = "".join(rng.choice(pool, n))
+            flat, counts = merger.encode([pieces.BLANK + text, "ab"])
+            assert flat[: counts[0]].tolist() == library.encode(text) and len(counts) == 2
+    start = time.perf_counter()
+    text = "".join(rng.choice(letters[:40], 1_000_000))
+    flat, _ = merger.encode([pieces.BLANK + text])
+    assert time.perf_counter() - start < 60 and flat.tolist() == library.encode(text)

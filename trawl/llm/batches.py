@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,18 @@ def free_name(name: str, taken: list[str]) -> str:
     return name
 
 
+def free_prefix(prefix: str, taken: list[str]) -> str:
+    """``prefix`` with underscores in front until none of ``taken`` begins with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in taken):
+        prefix = f"_{prefix}"
+    return prefix
+
+
+def quoted(rows: DataFrame, name: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return rows["`" + name.replace("`", "``") + "`"]
+
+
 def appended(rows: DataFrame, text_column: str, work: Callable[[list[str]], dict], extra: str) -> DataFrame:
     """All columns of the rows, and what ``work`` makes of their texts.
 
@@ -90,13 +102,15 @@ def appended(rows: DataFrame, text_column: str, work: Callable[[list[str]], dict
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shown = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for piece in slices([shown], f"c{place}"):
+            for piece in slices([batch], f"c{place}"):
                 made = work(filled(piece.column(place)))
                 columns = [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n]) for n in names]
-                yield pa.RecordBatch.from_arrays([*piece.columns, *columns], [*batch.schema.names, *(f.name for f in fields)])
+                yield pa.RecordBatch.from_arrays([*piece.columns, *columns], shown)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields]))
+    # Spark looks columns up by name here, and dots or backticks in a name would be syntax
+    shown = [*rows.schema.names, *(f.name for f in fields)]
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    return plain.mapInArrow(run, T.StructType([*rows.schema.fields, *fields]))
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

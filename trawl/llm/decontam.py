@@ -17,7 +17,8 @@ All hashes of the benchmark are also held in a small bit table, a constant of
 the plan, that lets nearly all places of a text go before anything is
 exploded or joined; whatever its size, it drops no hit.
 
-Null and empty texts and items have no words and no hits.  Repeated rows are
+Texts are read whole, whatever their length; a very long one takes its
+task memory in proportion.  Null and empty texts and items have no words and no hits.  Repeated rows are
 reported once each text: equal (id, text) rows count as one.  An empty table
 on either side gives an empty result; further columns are ignored.
 """
@@ -30,6 +31,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.batches import free_prefix
 from trawl.llm.once import with_once
 from trawl.plans.lineage import materialize
 
@@ -183,7 +185,7 @@ def without_overlaps(
     item_column: str = "item_id", item_text_column: str = "text",
 ) -> DataFrame:
     """The rows, all columns kept, whose text overlaps with no benchmark item."""
-    own = "_leak_"
+    own = free_prefix("_leak_", rows.columns)
     found = overlaps(rows, benchmark, id_column, text_column, item_column, item_text_column)
     found = found.select(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag")).distinct()
     same = rows[id_column].cast("long").eqNullSafe(F.col(own + "id"))

@@ -1,6 +1,6 @@
 """Language labels for mixed text: scripts, then Viterbi over words.
 
-Words are runs of letters, lower-cased.  The script of a word (by the range of
+Words are runs of letters with their marks, lower-cased.  The script of a word (by the range of
 its first letter) narrows the languages to those seen in that script while
 learning; where none was, all stay.  Each word scores every language by the
 log odds of its character n-grams, and the best path through the words pays
@@ -12,25 +12,27 @@ Learning counts n-grams of every labelled row given, in Spark; a model holds
 
 Null, empty and letterless texts are ``und`` with score 0 and no spans.  Rows
 without a label teach nothing.  With no labelled row at all every text is
-``und``.  Ties go to the language first in the alphabet.  Repeated rows are
+``und``.  Numbers of any kind are no letters.  Texts are read whole, whatever
+their length.  Ties go to the language first in the alphabet.  Repeated rows are
 labelled each for itself; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.batches import appended, filled, narrowed, slices
 
-WORD = re.compile(r"[^\W\d_]+")
+#: A letter, and the letters and marks (such as vowel signs) behind it.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 BUCKETS = 1 << 16
 LONGEST = 4
 #: Weight of overlapping n-grams against independent ones.

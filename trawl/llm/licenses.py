@@ -11,7 +11,8 @@ template's mandatory phrases stand there word by word.
 Phrases that stand anywhere (``BASE``) label a text by themselves.
 
 Words are runs of ASCII letters and digits and of anything outside ASCII;
-A-Z are lower-cased.  Null and empty texts have no words, no label and score
+A-Z are lower-cased.  Texts are read whole, whatever their length; a very long one takes its
+task memory in proportion.  Null and empty texts have no words, no label and score
 0.  Repeated rows are scanned each for itself; an empty table gives an empty
 result; further columns are ignored.
 """

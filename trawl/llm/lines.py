@@ -11,7 +11,8 @@ Each line of a text is held against three rules in turn:
 Failing lines are taken out.  A text that loses more than ``max_loss`` of its
 words is rejected as a whole.
 
-Nulls and empty texts have no lines and no words, and fail the base rule on
+Texts are read whole, whatever their length; a very long one takes its
+task memory in proportion.  Nulls and empty texts have no lines and no words, and fail the base rule on
 length.  Repeated rows are judged each for itself, an empty table gives an
 empty result, and any further columns of the input are ignored.
 """

@@ -6,20 +6,22 @@ no pair is left; symbols that are no piece become byte pieces.  Agendas of
 independent stretches do not meet: no piece holds a blank mark after another
 character, nor a character that only occurs as a piece of its own, so texts
 are cut there, and the agendas of all new stretches of an Arrow batch are
-worked side by side, one merge per stretch and step.
+worked side by side, one merge per stretch and step.  A long stretch, such as
+a megabyte without blanks, has a heap for its agenda.
 
 The stretches of every batch are also encoded by the sentencepiece library.
 Should a text hold a stretch on which the two differ, the library's ids are
 taken for the whole text and ``agrees`` is false for it.
 
 Null and empty texts have begin and end ids only and decode to the empty
-text.  Repeated rows are encoded each for itself; an empty table gives an
+text.  Texts are encoded whole, whatever their length.  Repeated rows are encoded each for itself; an empty table gives an
 empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from functools import lru_cache
 from itertools import chain
@@ -35,6 +37,8 @@ from trawl.llm.batches import WordMemo, appended, filled, narrowed, per_text, ra
 BLANK = "▁"
 #: Symbols of stretches merged side by side, at most; a longer one goes alone.
 SIDE_BY_SIDE = 1 << 20
+#: Symbols of a stretch from which on its agenda is a heap of its own.
+LONG_STRETCH = 4096
 #: Stretches remembered between batches.
 MEMO = 400_000
 NO_MERGE = np.iinfo(np.int64).max
@@ -91,6 +95,7 @@ class Merger:
 
     def _table(self, left: np.ndarray, right: np.ndarray, order: np.ndarray, merged: np.ndarray) -> None:
         """An open table: pair -> order and merged piece, with linear probing."""
+        self._known: dict[int, tuple[int, int]] | None = None
         self.bits = max(4, int(np.ceil(np.log2(4 * len(left) + 1))))
         size = 1 << self.bits
         self.keys = np.full(size + 1, -1, dtype=np.int64)
@@ -133,16 +138,20 @@ class Merger:
         order = np.argsort(lengths, kind="stable")
         flats, counts = [np.zeros(0, dtype=np.uint32)], np.zeros(len(stretches), dtype=np.int64)
         first = 0
-        while first < len(order):
+        while first < len(order) and lengths[order[first]] <= LONG_STRETCH:
             # stretches of like length, so that rows hold little padding
             width = int(lengths[order[first]])
             width += width // 4
             last = int(np.searchsorted(lengths[order], width, side="right"))
             last = max(first + 1, min(last, first + SIDE_BY_SIDE // max(width, 1)))
+            last = min(last, int(np.searchsorted(lengths[order], LONG_STRETCH, side="right")))
             chosen = order[first:last]
             flat, counts[chosen] = self._side_by_side([stretches[i] for i in chosen.tolist()])
             flats.append(flat)
             first = last
+        for at in order[first:].tolist():
+            flat, counts[at] = self._by_heap(stretches[at])
+            flats.append(flat)
         starts = np.zeros(len(stretches), dtype=np.int64)
         starts[order] = np.cumsum(counts[order]) - counts[order]
         return np.concatenate(flats)[ragged(starts, counts)], counts
@@ -205,6 +214,57 @@ class Merger:
         owner = np.repeat(np.arange(rows), counts)
         return out, np.bincount(owner, weights=size, minlength=rows).astype(np.int64)
 
+    def _by_heap(self, stretch: str) -> tuple[np.ndarray, int]:
+        """One long stretch: the agenda is a heap of (order, place), a pair that
+        has changed since it was put there is passed over."""
+        beyond = max(self.symbols.values()) + 1
+        distinct, place = np.unique(np.frombuffer(stretch.encode("utf-32-le", "surrogatepass"), dtype="<u4"), return_inverse=True)
+        code = np.array([self.symbols.get(chr(c), beyond + i) for i, c in enumerate(distinct.tolist())], dtype=np.int64)
+        codes = code[place]
+        slot = self.look_up(codes[:-1], codes[1:])
+        some = np.flatnonzero(slot >= 0)
+        symbol, n = codes.tolist(), len(codes)
+        heap = list(zip(self.orders[slot[some]].tolist(), some.tolist(), codes[some].tolist(), codes[some + 1].tolist()))
+        heapq.heapify(heap)
+        pairs = self._pairs()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def put(at: int, nxt: int) -> None:
+            left, right = symbol[at], symbol[nxt]
+            found = pairs.get(left << 32 | right)
+            if found is not None:
+                heapq.heappush(heap, (found[0], at, left, right))
+
+        while heap:
+            _, at, left, right = heapq.heappop(heap)
+            gone = after[at]
+            if symbol[at] != left or gone >= n or symbol[gone] != right:
+                continue
+            symbol[at], symbol[gone] = pairs[left << 32 | right][1], -1
+            nxt = after[at] = after[gone]
+            if nxt < n:
+                before[nxt] = at
+                put(at, nxt)
+            if before[at] >= 0:
+                put(before[at], at)
+        ids = []
+        for s in symbol:
+            if s >= self.n_ids:
+                name = self.names.get(s) or chr(int(distinct[s - beyond]))
+                ids.extend(self.bytes[list(name.encode("utf-8", "surrogatepass"))].tolist())
+            elif s >= 0:
+                ids.append(s)
+        return np.array(ids, dtype=np.uint32), len(ids)
+
+    def _pairs(self) -> dict[int, tuple[int, int]]:
+        """The pair table as a dictionary, made when the first long stretch comes."""
+        if self._known is None:
+            full = np.flatnonzero(self.keys >= 0)
+            made = zip(self.orders[full].tolist(), self.merged[full].tolist())
+            self._known = dict(zip(self.keys[full].tolist(), made))
+            self.names = {i: c for c, i in self.symbols.items() if i >= self.n_ids}
+        return self._known
+
     def stretches(self, text: str) -> list[str]:
         """The text cut where no merge can reach across."""
         return self.stretch.findall(BLANK + text.replace(" ", BLANK)) if text else []

@@ -11,7 +11,8 @@ next count.  A shard is a row of a Parquet table: the rules, the length
 that every rule expands to, the remaining symbols, and where each document
 begins.  With the lengths any stretch of ids is decoded alone.
 
-Null and empty texts have the end id only.  Null ids come first; rows with one
+Texts are read whole, whatever their length; a very long one takes its
+task memory in proportion.  Null and empty texts have the end id only.  Null ids come first; rows with one
 id are ordered by a hash of their text, and equal rows stand side by side.  An
 empty table writes files without rows.  Further columns are ignored.
 """
@@ -220,6 +221,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        #: For texts that hold one of the tokenizer's own marks, which are ids of their own.
+        self.whole = Tokenizer.from_file(path)
+        self.own_marks = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.alphabet = self.tokenizer.get_vocab_size()
         self.letters = byte_letters()
         self.model = self.tokenizer.model
@@ -269,9 +273,21 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has; null as empty.
 
-        Lower-casing and cutting are Arrow's, so that only distinct words reach Python."""
-        cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-        return self.memo.column_ids(cut.flatten(), np.diff(cut.offsets.to_numpy()).astype(np.int64))
+        Lower-casing and cutting are Arrow's, so that only distinct words reach
+        Python.  Texts with one of the tokenizer's marks go through it whole."""
+        texts = pc.fill_null(texts, "")
+        marked = np.zeros(len(texts), dtype=bool)
+        for mark in self.own_marks:
+            marked |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(~marked), texts, "") if marked.any() else texts
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        flat, counts = self.memo.column_ids(cut.flatten(), np.diff(cut.offsets.to_numpy()).astype(np.int64))
+        if not marked.any():
+            return flat, counts
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        for at in np.flatnonzero(marked).tolist():
+            parts[at] = np.array(self.whole.encode(texts[at].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
+        return np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
 
 
 @lru_cache(maxsize=2)

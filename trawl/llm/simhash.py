@@ -18,7 +18,8 @@ from the same shingles, fingerprints estimate similarity more sharply: ``bits``
 then bounds the difference over all lanes, some lane differs in at most its
 share of them, and each lane is probed with that.
 
-Null and empty texts have fingerprint zero.  Repeated rows each get a row.  A
+Texts are read whole, whatever their length; a very long one takes its
+task memory in proportion.  Null and empty texts have fingerprint zero.  Repeated rows each get a row.  A
 null id never becomes a component id unless the whole component lacks ids.  An
 empty table gives an empty result; further columns are ignored.
 """
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.batches import filled, narrowed, per_text
+from trawl.llm.batches import filled, free_prefix, narrowed, per_text, quoted
 from trawl.llm.components import components
 from trawl.plans.lineage import materialize
 
@@ -401,7 +402,7 @@ def one_of_each(rows: DataFrame, id_column: str = "doc_id", text_column: str = "
     found = near_duplicates(rows, id_column, text_column, **how)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "tag")
     best = found.groupBy("root").agg(F.min(order).alias("best")).select("best.id", "best.tag")
-    own = "_simhash_"
+    own = free_prefix("_simhash_", rows.columns)
     best = best.select(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag"))
     key = [rows[id_column].cast("long").eqNullSafe(F.col(own + "id")), F.xxhash64(rows[text_column].cast("string")) == F.col(own + "tag")]
     kept = rows.join(best, key[0] & key[1])
@@ -409,7 +410,7 @@ def one_of_each(rows: DataFrame, id_column: str = "doc_id", text_column: str = "
     again = found.groupBy("id", "tag").count().where("count > 1")
     again = again.select(F.col("id").alias(own + "id2"), F.col("tag").alias(own + "tag2"))
     twice = kept.join(again, F.col(own + "id").eqNullSafe(F.col(own + "id2")) & (F.col(own + "tag") == F.col(own + "tag2")), "left")
-    columns = [rows[c] for c in rows.columns]
+    columns = [quoted(rows, c) for c in rows.columns]
     single = twice.where(F.col(own + "tag2").isNull()).select(*columns)
     several = twice.where(F.col(own + "tag2").isNotNull()).dropDuplicates([own + "id", own + "tag"]).select(*columns)
     return single.unionAll(several)

@@ -13,7 +13,8 @@ so it goes only where these stand again too.  Where its own line does not
 reach back that far, it is hashed with its whole line as well.  So a line that
 stands again goes with all its sentences, blanks between them aside.
 
-Null and empty texts have no units.  Null ids come last in the order.  Rows
+Texts are read whole, whatever their length; a very long one takes its
+task memory in proportion.  Null and empty texts have no units.  Null ids come last in the order.  Rows
 with one id and equal texts count as one text and share their removals.  An
 empty table gives an empty result.  ``remove_spans`` keeps all columns of its
 input, whatever their names.
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.batches import filled, free_name, narrowed, slices
+from trawl.llm.batches import filled, free_name, free_prefix, narrowed, quoted, slices
 from trawl.plans.lineage import materialize
 
 CUT = re.compile(r"[.!?…][\"'”’»)\]]*\s+|\n+")
@@ -110,7 +111,7 @@ def repeated_units(rows: DataFrame, id_column: str = "doc_id", text_column: str
 
 def _cut(rows: DataFrame, spans: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``remove_spans``, with a last column that tells whether anything was cut."""
-    own = "_units_"
+    own = free_prefix("_units_", rows.columns)
     gone = spans.groupBy(F.col("id").alias(own + "id"), F.col("tag").alias(own + "tag")).agg(
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias(own + "gone")
     )
@@ -131,7 +132,7 @@ def _cut(rows: DataFrame, spans: DataFrame, id_column: str, text_column: str) ->
     whole = F.when(F.length(text) > 0, F.array(F.struct(F.lit(0).alias("start"), F.length(text).alias("stop"))))
     left = F.array_join(F.transform(kept, lambda s: F.substring(text, s["start"] + 1, s["stop"] - s["start"])), "")
     cut = F.when(spots.isNull(), text).otherwise(left).alias(text_column)
-    columns = [cut if c == text_column else rows[c] for c in rows.columns]
+    columns = [cut if c == text_column else quoted(rows, c) for c in rows.columns]
     added = free_name("kept_spans", rows.columns)
     touched = free_name(own + "touched", rows.columns)
     return joined.select(*columns, F.when(spots.isNull(), whole).otherwise(kept).alias(added), spots.isNotNull().alias(touched))
