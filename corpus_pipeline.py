@@ -3,8 +3,8 @@
 1. language: texts without letters, or without one language that has two
    fifths of their letters, go.  The model learns from all labelled rows of the input.
 2. near_duplicates: of each group of near copies the row with the smallest
-   doc_id stays.  Fingerprints take five-word shingles and three lanes of 64
-   bits; 29 differing bits of 192 stand for a similarity of 0.8.
+   doc_id stays.  Fingerprints take four-word shingles and 64 bits; texts are
+   linked at 4 differing bits or fewer, as in the operator's own query.
 3. repeated_units: lines and sentences that stood earlier in the corpus are
    cut out; a text of which nothing is left goes.  n_chars follows the text.
 4. decontamination: texts that overlap with a benchmark item go.
@@ -26,9 +26,8 @@ from trawl.llm import decontam, langid, pieces, simhash, units
 from trawl.plans.lineage import checkpoint_folder
 
 MIN_SHARE = 0.4
-SHINGLE_WORDS = 5
-LANES = 3
-DIFFERING_BITS = 29
+SHINGLE_WORDS = 4
+DIFFERING_BITS = 4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +35,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs, words=SHINGLE_WORDS, lanes=LANES, bits=DIFFERING_BITS)
+    return simhash.one_of_each(docs, words=SHINGLE_WORDS, bits=DIFFERING_BITS)
 
 
 def repeated_units(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
