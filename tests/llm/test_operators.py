@@ -489,6 +489,9 @@ def test_numbers_are_no_letters_and_marks_belong_to_words(spark):
     assert got["lang"][:3] == ["und"] * 3 and got["lang"][3] == "hi" and got["score"][:3] == [0.0] * 3
     assert [len(langid.WORD.findall(t)) for t in ("हिन्दी", "été", "x²y")] == [1, 1, 2]
     assert got["lang"][4] in ("en", "hi")
+    for point in range(0x3000):
+        text = f"ab{chr(point)}cd"
+        assert langid.words_of(text) == langid.WORD.findall(text.lower()), hex(point)
 
 
 def test_marks_of_the_tokenizer_are_ids_as_in_the_library(spark, tmp_path):

@@ -19,6 +19,7 @@ labelled each for itself; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +34,9 @@ from trawl.llm.batches import appended, filled, narrowed, slices
 
 #: A letter, and the letters and marks (such as vowel signs) behind it.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
+#: The same for texts without marks, letters beyond the first blocks, or numbers that are no digits.
+PLAIN_WORD = re.compile(r"[^\W\d_]+")
+NOT_PLAIN = re.compile("[\u00b2\u00b3\u00b9\u00bc-\u00be\u0300-\u1fff\u2070-\U0010ffff]")
 BUCKETS = 1 << 16
 LONGEST = 4
 #: Weight of overlapping n-grams against independent ones.
@@ -67,13 +71,18 @@ class Model:
     scripts: np.ndarray
 
 
+def words_of(text: str) -> list[str]:
+    lowered = text.lower()
+    return (WORD if NOT_PLAIN.search(lowered) else PLAIN_WORD).findall(lowered)
+
+
 class Vocabulary:
     """Distinct words of some texts, and the texts as numbers of words."""
 
     def __init__(self, texts: list[str]):
         number: dict[str, int] = defaultdict()
         number.default_factory = number.__len__
-        found = [WORD.findall(t.lower()) for t in texts]
+        found = list(map(words_of, texts))
         self.per_text = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         self.codes = np.fromiter((number[w] for words in found for w in words), dtype=np.int64, count=int(self.per_text.sum()))
         self.words = list(number)
