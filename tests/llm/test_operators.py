@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -70,7 +71,11 @@ def test_grammar_decodes_any_stretch(alphabet):
     raw = repair.compress(ids, alphabet)
     grammar = repair.Grammar(raw)
     assert len(raw) < 4 * len(ids) and len(grammar.left) > 0
-    assert (grammar.lengths == [len(x) for x in np.split(grammar.flat, np.cumsum(grammar.lengths)[:-1])]).all()
+    known = {}
+    for number, (left, right) in enumerate(zip(grammar.left.tolist(), grammar.right.tolist()), alphabet):
+        known[number] = known.get(left, [left]) + known.get(right, [right])
+    assert grammar.lengths.tolist() == [len(x) for x in known.values()]
+    assert [i for x in grammar.symbols.tolist() for i in known.get(x, [x])] == ids.tolist()
     for first, stop in ((0, None), (7, 8), (100, 1500), (0, 1), (2000, 99_999), (5, 5)):
         assert grammar.ids(first, stop).tolist() == ids[first:stop].tolist()
     assert repair.Grammar(repair.compress(ids[:0], alphabet)).ids().tolist() == []
@@ -103,6 +108,21 @@ def test_grammar_goes_on_until_no_pair_stands_twice(alphabet):
     assert (2, 3) not in set(zip(grammar.left.tolist(), grammar.right.tolist()))
 
 
+def test_grammar_of_a_real_shard():
+    """Half a million ids of the real alphabet: more rules than 16 bits have room for, no pair twice."""
+    coder = repair.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").combine_chunks()
+    ids = coder.encode(texts.slice(0, 600))[0][: 1 << 19]
+    ids = np.concatenate([ids, ids[1000:90_000], np.full(1001, 7), ids[: 1 << 17]]).astype(np.uint32)
+    raw = repair.compress(ids, coder.alphabet)
+    grammar = repair.Grammar(raw)
+    assert coder.alphabet + len(grammar.left) > 1 << 16 and len(raw) < 2 * len(ids)
+    assert (grammar.ids() == ids).all()
+    assert max(apart(grammar.symbols.tolist()).values()) < 2
+    for first, stop in ((5, 9), (300_000, 340_001), (len(ids) - 3, None), (0, 1 << 17)):
+        assert (grammar.ids(first, stop) == ids[first:stop]).all()
+
+
 # -- 2 ----------------------------------------------------------------------
 
 

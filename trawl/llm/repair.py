@@ -4,12 +4,13 @@ Texts go to tasks by ranges of their id, in order.  A task encodes its texts
 with a tokenizer of the tokenizers library, appends the end id to each and
 cuts the ids into shards of whole documents.  In each shard, frequent pairs of
 neighbouring symbols are replaced by new symbols again and again, the most
-frequent pairs first, until no pair stands twice or no free symbol is left.
-A round replaces pairs that stand about equally often; where they overlap the
-more frequent one wins, and one that stands less often by that waits for the
-next count.  A shard is a row of a Parquet table: the rules, the length
-that every rule expands to, the remaining symbols, and where each document
-begins.  With the lengths any stretch of ids is decoded alone.
+frequent pairs first, until no pair stands twice.  A round replaces pairs that
+stand about equally often; where they overlap the more frequent one wins, and
+one that stands less often by that waits for a later round.  Places and numbers
+of all pairs are kept, and a round changes them beside replaced places only.
+A shard is a row of a Parquet table: the rules, the length that every rule
+expands to, the remaining symbols, and where each document begins.  Symbols
+have the bits they need.  With the lengths any stretch of ids is decoded alone.
 
 Texts are read whole, whatever their length; a very long one takes its
 task memory in proportion.  Null and empty texts have the end id only.  Null ids come first; rows with one
@@ -44,8 +45,11 @@ MIN_PAIRS = 2
 ROUND_SHARE = 0.9
 #: Runs of marks whose ids are remembered.
 MARKS_KEPT = 10_000
-MAGIC = b"RPG1"
-SLOTS = 18
+MAGIC = b"RPG2"
+#: Magic, alphabet, rules, symbols, bits a symbol.
+HEAD = "<4sIQQB"
+#: Lengths from here on have eight bytes behind the others, which have one.
+LONG_RULE = 255
 
 FILES = (
     "part int, shard int, start_in_part long, n_ids long, doc_ids array<long>, doc_sizes array<int>, grammar binary"
@@ -54,141 +58,256 @@ FILES = (
 # -- grammar ------------------------------------------------------------------
 
 
-def _slot(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
-
-
-def _apart(pairs: np.ndarray) -> np.ndarray:
-    """Where a pair does not overlap with an equal one: every other place of a run, from the left."""
-    alone = np.ones(len(pairs), dtype=bool)
-    again = np.flatnonzero(pairs[1:] == pairs[:-1]) + 1
-    if len(again):
-        begin = np.r_[True, np.diff(again) != 1]
-        run = np.maximum.accumulate(np.where(begin, np.arange(len(again)), 0))
-        alone[again[(np.arange(len(again)) - run) % 2 == 0]] = False
+def _grouped(left: np.ndarray, right: np.ndarray, n_symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that puts equal pairs side by side, earlier ones first, and
+    where groups begin and how many they have."""
+    bits, place = int(n_symbols).bit_length(), len(left).bit_length()
+    keys = left.astype(np.uint64) << np.uint64(bits) | right.astype(np.uint64)
+    if 2 * bits + place <= 64:
+        # sorting the numbers themselves is several times as fast as sorting their places
+        keys = np.sort(keys << np.uint64(place) | np.arange(len(keys), dtype=np.uint64))
+        order = (keys & np.uint64((1 << place) - 1)).astype(np.int64)
+        keys >>= np.uint64(place)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+    return order, first, np.diff(np.r_[first, len(keys)])
+
+
+def _apart(again: np.ndarray) -> np.ndarray:
+    """Which places count, where ``again`` tells that a place's pair overlaps
+    with an equal one before it: every other one of a run, from the left."""
+    alone = np.ones(len(again), dtype=bool)
+    at = np.flatnonzero(again)
+    if len(at):
+        begin = np.r_[True, np.diff(at) != 1]
+        run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
+        alone[at[(np.arange(len(at)) - run) % 2 == 0]] = False
     return alone
 
 
-def _frequent(pairs: np.ndarray, free: int) -> tuple[np.ndarray, float]:
-    """The pairs to replace in this round, most frequent first, and the times each must stand."""
-    ordered = np.sort(pairs)
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    times = np.diff(np.r_[first, len(ordered)])
-    least = max(MIN_PAIRS, ROUND_SHARE * times.max())
-    enough = np.flatnonzero(times >= least)
-    best = enough[np.argsort(-times[enough], kind="stable")][:free]
-    chosen = ordered[first[best]]
-    # pairs that meet in a slot wait for a later round
-    _, alone = np.unique(_slot(chosen.astype(np.uint64)), return_index=True)
-    return chosen[np.sort(alone)], least
-
-
-def _settled(hits: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Which hits are replaced: of overlapping ones the more frequent pair's."""
-    taken = np.zeros(len(hits), dtype=bool)
-    left = np.arange(len(hits))
+def _settled(touch: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which hits are replaced: of overlapping ones the more frequent pair's.
+    ``touch`` tells of each hit but the last whether it overlaps with the next."""
+    taken = np.zeros(len(rank), dtype=bool)
+    left = np.arange(len(rank))
     while len(left):
-        at, r = hits[left], rank[left]
-        touch = np.diff(at) == 1
-        wins = np.r_[True, ~touch | (r[1:] < r[:-1])] & np.r_[~touch | (r[:-1] <= r[1:]), True]
+        r = rank[left]
+        meets = (np.diff(left) == 1) & touch[left[:-1]]
+        wins = np.r_[True, ~meets | (r[1:] < r[:-1])] & np.r_[~meets | (r[:-1] <= r[1:]), True]
         taken[left[wins]] = True
         out = wins.copy()
-        out[1:] |= touch & wins[:-1]
-        out[:-1] |= touch & wins[1:]
+        out[1:] |= meets & wins[:-1]
+        out[:-1] |= meets & wins[1:]
         left = left[~out]
     return taken
 
 
+class _Pairs:
+    """The pairs of a chain of symbols that stand twice or more: how often each
+    stands, and where.
+
+    A new pair has a symbol of the round that made it, so all its places are
+    made in that round: they are kept side by side, and a pair that stands once
+    never comes to stand twice.  A place that went is told by ``at``, the number
+    of the pair that begins at a place now.
+    """
+
+    def __init__(self, length: int):
+        self.at = np.full(length + 1, -1, dtype=np.int32)
+        self.n = self.held = 0
+        self.times, self.first, self.given = (np.zeros(1024, dtype=np.int32) for _ in range(3))
+        self.places = np.zeros(1024, dtype=np.int32)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
+
+    def add(self, places: np.ndarray, left: np.ndarray, right: np.ndarray, n_symbols: int) -> None:
+        order, first, times = _grouped(left, right, n_symbols)
+        often = times >= MIN_PAIRS
+        first, times = first[often], times[often]
+        found = places[order[ragged(first, times)]]
+        n, held = self.n + len(times), self.held + len(found)
+        self.times, self.first, self.given = (self._room(x, n) for x in (self.times, self.first, self.given))
+        self.places = self._room(self.places, held)
+        self.times[self.n : n] = self.given[self.n : n] = times
+        self.first[self.n : n] = self.held + np.cumsum(times) - times
+        self.places[self.held : held] = found
+        self.at[found] = np.repeat(np.arange(self.n, n, dtype=np.int32), times)
+        self.n, self.held = n, held
+
+    def drop(self, places: np.ndarray) -> None:
+        gone = self.at[places]
+        np.subtract.at(self.times, gone[gone >= 0], 1)
+        self.at[places] = -1
+
+    def frequent(self) -> tuple[np.ndarray, float]:
+        """The pairs to replace in this round, most frequent first, and the times each must stand."""
+        times = self.times[: self.n]
+        least = max(MIN_PAIRS, ROUND_SHARE * times.max(initial=0))
+        chosen = np.flatnonzero(times >= least)
+        return chosen[np.argsort(-times[chosen], kind="stable")], least
+
+    def hits(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, rank in ``chosen``) of all places of the chosen pairs, from the left."""
+        given = self.given[chosen].astype(np.int64)
+        places = self.places[ragged(self.first[chosen].astype(np.int64), given)]
+        rank = np.repeat(np.arange(len(chosen)), given)
+        there = self.at[places] == chosen[rank]
+        places, rank = places[there], rank[there]
+        order = np.argsort(places)
+        return places[order], rank[order]
+
+
+def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], rights: list[np.ndarray]) -> np.ndarray:
+    """The symbols when all pairs that stand twice are replaced; their rules are
+    added to ``lefts`` and ``rights``.  After the first count, work goes in
+    proportion to the places that are replaced."""
+    length = len(symbols)
+    if length < 2:
+        return symbols
+    # a chain with one place beyond its end, which stands before its beginning too
+    after = np.arange(1, length + 2, dtype=np.int32)
+    before = np.arange(-1, length, dtype=np.int32)
+    before[0] = length
+    symbols = np.r_[symbols, 0].astype(np.int64)
+    pairs = _Pairs(length)
+    made = np.zeros(length + 1, dtype=bool)
+    places = np.arange(length - 1, dtype=np.int32)
+    left, right = symbols[: length - 1], symbols[1:length]
+    alone = _apart(np.r_[False, (left[1:] == left[:-1]) & (right[1:] == right[:-1])])
+    pairs.add(places[alone], left[alone], right[alone], n_symbols)
+    while True:
+        chosen, least = pairs.frequent()
+        if not len(chosen):
+            return symbols[:-1][after[:-1] >= 0]
+        hits, rank = pairs.hits(chosen)
+        taken = _settled(after[hits[:-1]] == hits[1:], rank)
+        # a pair that others took places from waits until it is counted again
+        held = np.bincount(rank[taken], minlength=len(chosen)) >= least
+        taken &= held[rank]
+        hits, rank = hits[taken], rank[taken]
+        _, sample = np.unique(rank, return_index=True)
+        lefts.append(symbols[hits[sample]])
+        rights.append(symbols[after[hits[sample]]])
+        numbers = n_symbols + np.cumsum(held) - 1
+        n_symbols += int(held.sum())
+        second = after[hits]
+        ahead = before[hits]
+        made[second] = True
+        pairs.drop(ahead[~made[ahead]])
+        pairs.drop(hits)
+        pairs.drop(second)
+        made[second] = False
+        after[hits] = after[second]
+        before[after[hits]] = hits
+        after[second] = -1
+        symbols[hits] = numbers[rank]
+        made[hits] = True
+        ahead = before[hits]
+        fresh = np.sort(np.concatenate([hits, ahead[~made[ahead]]]))
+        made[hits] = False
+        fresh = fresh[(fresh != length) & (after[fresh] != length)]
+        left, right = symbols[fresh], symbols[after[fresh]]
+        touch = after[fresh[:-1]] == fresh[1:]
+        alone = _apart(np.r_[False, touch & (left[1:] == left[:-1]) & (right[1:] == right[:-1])]) if len(fresh) else touch
+        pairs.add(fresh[alone], left[alone], right[alone], n_symbols)
+
+
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    """Numbers below 2 ** bits: their whole bytes one after the other, lowest
+    first, each of all numbers, then their highest bits in a row."""
+    planes = [(values >> 8 * i).astype(np.uint8).tobytes() for i in range(bits // 8)]
+    rest = values >> bits // 8 * 8
+    high = (rest[:, None] >> np.arange(bits % 8)).astype(np.uint8) & 1
+    return b"".join(planes) + np.packbits(high).tobytes()
+
+
+def _unpacked(raw: bytes, at: int, count: int, bits: int) -> tuple[np.ndarray, int]:
+    """``count`` numbers from ``raw`` at byte ``at``, and where they end."""
+    values = np.zeros(count, dtype=np.int64)
+    for i in range(bits // 8):
+        values |= np.frombuffer(raw, np.uint8, count, at).astype(np.int64) << 8 * i
+        at += count
+    n_bytes = -(-count * (bits % 8) // 8)
+    high = np.unpackbits(np.frombuffer(raw, np.uint8, n_bytes, at), count=count * (bits % 8)).reshape(count, bits % 8)
+    for i in range(bits % 8):
+        values |= high[:, i].astype(np.int64) << bits // 8 * 8 + i
+    return values, at + n_bytes
+
+
 def compress(ids: np.ndarray, alphabet: int) -> bytes:
     """The grammar of ``ids``, all of them below ``alphabet``."""
-    narrow = alphabet <= 0xF000
-    kind = np.uint16 if narrow else np.uint32
-    wide, shift = (np.uint32, np.uint32(16)) if narrow else (np.uint64, np.uint64(32))
-    limit = (1 << 16 if narrow else 1 << 32) - alphabet
-    symbols = ids.astype(kind)
-    lefts, rights, lengths = [], [], [np.ones(0, dtype=np.uint32)]
-    size = lambda s: np.where(s < alphabet, 1, known[np.maximum(s.astype(np.int64) - alphabet, 0)] if len(known) else 1)
-    n_rules = 0
-    known = np.zeros(0, dtype=np.uint32)
-    table = np.zeros(1 << SLOTS, dtype=wide)
-    rank = np.zeros(1 << SLOTS, dtype=np.int64)
-    while len(symbols) > 1 and n_rules < limit:
-        pairs = symbols[:-1].astype(wide) << shift | symbols[1:]
-        alone = _apart(pairs)
-        chosen, least = _frequent(pairs[alone], limit - n_rules)
-        if not len(chosen):
+    symbols = ids.astype(np.int64)
+    lefts, rights = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    while True:
+        n_rounds, n_symbols = len(lefts), alphabet + sum(map(len, lefts))
+        symbols = _replaced(symbols, n_symbols, lefts, rights)
+        # runs of one symbol that were cut by a neighbour are counted anew
+        if len(lefts) == n_rounds:
             break
-        table[:] = ~wide(0)
-        at = _slot(chosen.astype(np.uint64))
-        table[at] = chosen
-        rank[at] = np.arange(len(chosen))
-        slots = _slot(pairs.astype(np.uint64))
-        hits = np.flatnonzero((table[slots] == pairs) & alone)
-        order = rank[slots[hits]]
-        taken = _settled(hits, order)
-        # a pair that others took places from waits until it is counted again
-        held = np.bincount(order[taken], minlength=len(chosen)) >= least
-        hits, order = hits[taken & held[order]], order[taken & held[order]]
-        chosen = chosen[held]
-        numbers = (alphabet + n_rules + np.cumsum(held) - 1).astype(kind)
-        symbols[hits] = numbers[order]
-        stay = np.ones(len(symbols), dtype=bool)
-        stay[hits + 1] = False
-        symbols = symbols[stay]
-        left, right = (chosen >> shift).astype(np.uint32), (chosen & ((wide(1) << shift) - wide(1))).astype(np.uint32)
-        lefts.append(left)
-        rights.append(right)
-        lengths.append((size(left) + size(right)).astype(np.uint32))
-        known = np.concatenate(lengths)
-        n_rules += len(chosen)
-    none = np.zeros(0, dtype=np.uint32)
-    head = struct.pack("<4sIQQ", MAGIC, alphabet, n_rules, len(symbols)) + bytes([symbols.itemsize])
-    parts = [np.concatenate([none, *lefts]), np.concatenate([none, *rights]), known, symbols]
-    return head + b"".join(p.astype(p.dtype.newbyteorder("<")).tobytes() for p in parts)
+    left, right = np.concatenate(lefts), np.concatenate(rights)
+    lengths = [1] * alphabet
+    for a, b in zip(left.tolist(), right.tolist()):
+        lengths.append(lengths[a] + lengths[b])
+    lengths = np.array(lengths[alphabet:], dtype=np.int64)
+    bits = max(1, (alphabet + len(left) - 1).bit_length())
+    head = struct.pack(HEAD, MAGIC, alphabet, len(left), len(symbols), bits)
+    long = lengths[lengths >= LONG_RULE].astype("<u8")
+    return head + b"".join([
+        _packed(left, bits), _packed(right, bits), np.minimum(lengths, LONG_RULE).astype(np.uint8).tobytes(), long.tobytes(),
+        _packed(symbols, bits),
+    ])
 
 
 class Grammar:
     """A shard's grammar, for reading."""
 
     def __init__(self, raw: bytes):
-        magic, self.alphabet, rules, count = struct.unpack_from("<4sIQQ", raw)
+        magic, self.alphabet, rules, count, bits = struct.unpack_from(HEAD, raw)
         if magic != MAGIC:
             raise ValueError("not a grammar shard")
-        at = struct.calcsize("<4sIQQ")
-        kind = "<u2" if raw[at] == 2 else "<u4"
-        at += 1
-        self.left, self.right, self.lengths = (
-            np.frombuffer(raw, "<u4", rules, at + 4 * rules * i).astype(np.int64) for i in range(3)
-        )
-        self.symbols = np.frombuffer(raw, kind, count, at + 12 * rules).astype(np.int64)
-        self.sizes = np.ones(count, dtype=np.int64)
-        is_rule = self.symbols >= self.alphabet
-        self.sizes[is_rule] = self.lengths[self.symbols[is_rule] - self.alphabet]
-        self.ends = np.cumsum(self.sizes)
-        self.rule_starts = np.cumsum(self.lengths) - self.lengths
-        flat = np.arange(rules) + self.alphabet
-        while (deep := flat >= self.alphabet).any():
-            grown = np.repeat(flat, 1 + deep)
-            at_rule = np.cumsum(1 + deep)[deep] - 2
-            grown[at_rule], grown[at_rule + 1] = self.left[flat[deep] - self.alphabet], self.right[flat[deep] - self.alphabet]
-            flat = grown
-        self.flat = flat
+        self.left, at = _unpacked(raw, struct.calcsize(HEAD), rules, bits)
+        self.right, at = _unpacked(raw, at, rules, bits)
+        self.lengths = np.frombuffer(raw, np.uint8, rules, at).astype(np.int64)
+        at += rules
+        long = np.flatnonzero(self.lengths == LONG_RULE)
+        self.lengths[long] = np.frombuffer(raw, "<u8", len(long), at)
+        self.symbols, _ = _unpacked(raw, at + 8 * len(long), count, bits)
+        self.ends = np.cumsum(self._sizes(self.symbols))
+
+    def _sizes(self, symbols: np.ndarray) -> np.ndarray:
+        sizes = np.ones(len(symbols), dtype=np.int64)
+        deep = symbols >= self.alphabet
+        sizes[deep] = self.lengths[symbols[deep] - self.alphabet]
+        return sizes
 
     def ids(self, first: int = 0, stop: int | None = None) -> np.ndarray:
-        """Ids first .. stop - 1; only the symbols that cover them are expanded."""
+        """Ids first .. stop - 1.  Only the symbols that cover them are looked
+        up, and of their rules only the sides that reach into the stretch."""
         total = int(self.ends[-1]) if len(self.ends) else 0
         stop = total if stop is None else min(stop, total)
         if first >= stop:
             return np.zeros(0, dtype="<u4")
         a, b = np.searchsorted(self.ends, [first, stop - 1], side="right")
-        symbols, sizes = self.symbols[a : b + 1], self.sizes[a : b + 1]
-        starts = np.where(symbols < self.alphabet, symbols, 0)
-        deep = symbols >= self.alphabet
-        starts[deep] = self.alphabet + self.rule_starts[symbols[deep] - self.alphabet]
-        # terminals and rule expansions in one row: a terminal stands for itself
-        both = np.concatenate([np.arange(self.alphabet), self.flat]).astype("<u4")
-        begin = int(self.ends[a] - self.sizes[a])
-        return both[ragged(starts, sizes)][first - begin : stop - begin]
+        symbols = self.symbols[a : b + 1]
+        starts = self.ends[a : b + 1] - self._sizes(symbols) - first
+        out = np.zeros(stop - first, dtype="<u4")
+        while len(symbols):
+            plain = symbols < self.alphabet
+            out[starts[plain]] = symbols[plain]
+            rules, starts = symbols[~plain] - self.alphabet, starts[~plain]
+            left = self.left[rules]
+            symbols = np.concatenate([left, self.right[rules]])
+            starts = np.concatenate([starts, starts + self._sizes(left)])
+            if first > 0 or stop < total:
+                inside = (starts < stop - first) & (starts + self._sizes(symbols) > 0)
+                symbols, starts = symbols[inside], starts[inside]
+        return out
 
 
 # -- encoding -----------------------------------------------------------------
