@@ -174,7 +174,7 @@ class WordMemo:
     def column_ids(self, words: pa.Array, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same for an Arrow column of words; only distinct ones become Python strings."""
         coded = words.dictionary_encode()
-        place = self.places(coded.dictionary.to_pylist())
+        place = self.places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         return self._spread(place[coded.indices.to_numpy(zero_copy_only=False)], per_text)
 
     def _spread(self, place: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

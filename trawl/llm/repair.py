@@ -45,6 +45,8 @@ MIN_PAIRS = 2
 ROUND_SHARE = 0.9
 #: Runs of marks whose ids are remembered.
 MARKS_KEPT = 10_000
+#: Words without their marks whose ids are remembered.
+BODIES_KEPT = 200_000
 MAGIC = b"RPG2"
 #: Magic, alphabet, rules, symbols, bits a symbol.
 HEAD = "<4sIQQB"
@@ -142,7 +144,11 @@ class _Pairs:
 
     def drop(self, places: np.ndarray) -> None:
         gone = self.at[places]
-        np.subtract.at(self.times, gone[gone >= 0], 1)
+        gone = gone[gone >= 0]
+        if 8 * len(gone) > self.n:
+            self.times[: self.n] -= np.bincount(gone, minlength=self.n).astype(np.int32)
+        else:
+            np.subtract.at(self.times, gone, 1)
         self.at[places] = -1
 
     def frequent(self) -> tuple[np.ndarray, float]:
@@ -154,13 +160,17 @@ class _Pairs:
 
     def hits(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, rank in ``chosen``) of all places of the chosen pairs, from the left."""
+        if len(chosen) == 1:
+            first = self.first[chosen[0]]
+            places = self.places[first : first + self.given[chosen[0]]].astype(np.int64)
+            places = places[self.at[places] == chosen[0]]
+            return places, np.zeros(len(places), dtype=np.int64)
         given = self.given[chosen].astype(np.int64)
-        places = self.places[ragged(self.first[chosen].astype(np.int64), given)]
+        places = self.places[ragged(self.first[chosen].astype(np.int64), given)].astype(np.int64)
+        there = self.at[places] == np.repeat(chosen.astype(np.int32), given)
         rank = np.repeat(np.arange(len(chosen)), given)
-        there = self.at[places] == chosen[rank]
-        places, rank = places[there], rank[there]
-        order = np.argsort(places)
-        return places[order], rank[order]
+        both = np.sort(places[there] << 32 | rank[there])
+        return both >> 32, both & 0xFFFFFFFF
 
 
 def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], rights: list[np.ndarray]) -> np.ndarray:
@@ -174,7 +184,7 @@ def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], righ
     after = np.arange(1, length + 2, dtype=np.int32)
     before = np.arange(-1, length, dtype=np.int32)
     before[0] = length
-    symbols = np.r_[symbols, 0].astype(np.int64)
+    symbols = np.r_[symbols, 0].astype(np.uint32)
     pairs = _Pairs(length)
     made = np.zeros(length + 1, dtype=bool)
     places = np.arange(length - 1, dtype=np.int32)
@@ -184,36 +194,39 @@ def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], righ
     while True:
         chosen, least = pairs.frequent()
         if not len(chosen):
-            return symbols[:-1][after[:-1] >= 0]
+            return symbols[:-1][after[:-1] >= 0].astype(np.int64)
         hits, rank = pairs.hits(chosen)
         taken = _settled(after[hits[:-1]] == hits[1:], rank)
         # a pair that others took places from waits until it is counted again
         held = np.bincount(rank[taken], minlength=len(chosen)) >= least
         taken &= held[rank]
         hits, rank = hits[taken], rank[taken]
-        _, sample = np.unique(rank, return_index=True)
-        lefts.append(symbols[hits[sample]])
-        rights.append(symbols[after[hits[sample]]])
-        numbers = n_symbols + np.cumsum(held) - 1
-        n_symbols += int(held.sum())
-        second = after[hits]
-        ahead = before[hits]
+        second = after[hits].astype(np.int64)
+        one = np.zeros(len(chosen), dtype=np.int64)
+        one[rank] = np.arange(len(rank))
+        one = one[held]
+        lefts.append(symbols[hits[one]].astype(np.int64))
+        rights.append(symbols[second[one]].astype(np.int64))
+        numbers = (n_symbols + np.cumsum(held) - 1).astype(np.uint32)
+        n_symbols += len(one)
+        ahead = before[hits].astype(np.int64)
         made[second] = True
-        pairs.drop(ahead[~made[ahead]])
-        pairs.drop(hits)
-        pairs.drop(second)
+        pairs.drop(np.concatenate([ahead[~made[ahead]], hits, second]))
         made[second] = False
-        after[hits] = after[second]
-        before[after[hits]] = hits
+        behind = after[second].astype(np.int64)
+        after[hits] = behind
+        before[behind] = hits
         after[second] = -1
         symbols[hits] = numbers[rank]
         made[hits] = True
         ahead = before[hits]
         fresh = np.sort(np.concatenate([hits, ahead[~made[ahead]]]))
         made[hits] = False
-        fresh = fresh[(fresh != length) & (after[fresh] != length)]
-        left, right = symbols[fresh], symbols[after[fresh]]
-        touch = after[fresh[:-1]] == fresh[1:]
+        behind = after[fresh].astype(np.int64)
+        inside = (fresh != length) & (behind != length)
+        fresh, behind = fresh[inside], behind[inside]
+        left, right = symbols[fresh], symbols[behind]
+        touch = behind[:-1] == fresh[1:]
         alone = _apart(np.r_[False, touch & (left[1:] == left[:-1]) & (right[1:] == right[:-1])]) if len(fresh) else touch
         pairs.add(fresh[alone], left[alone], right[alone], n_symbols)
 
@@ -346,7 +359,8 @@ class Encoder:
         self.alphabet = self.tokenizer.get_vocab_size()
         self.letters = byte_letters()
         self.model = self.tokenizer.model
-        self.marks: dict[str, list[int]] = {"": []}
+        self.marks: dict[str, list[int]] = {}
+        self.bodies: dict[str, list[int]] = {}
         sample = "Élan, vital. Été ab"
         if [i for w in sample.lower().split() for i in self._plain(w)] != self.tokenizer.encode(sample, add_special_tokens=False).ids:
             raise ValueError("a byte-level tokenizer with word ends, without case and white space is needed")
@@ -360,16 +374,24 @@ class Encoder:
         if found is None:
             return None
         body, marks = found.groups()
-        if not body.isascii():
-            body = body.encode().decode("latin-1").translate(self.letters)
+        ids = self.bodies.get(body)
+        if ids is None:
+            letters = body if body.isascii() else body.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(letters)]
+            if len(self.bodies) < BODIES_KEPT:
+                self.bodies[body] = ids
+        if not marks:
+            return ids
         behind = self.marks.get(marks)
         if behind is None:
             behind = self.tokenizer.encode(marks, add_special_tokens=False).ids
             if len(self.marks) < MARKS_KEPT:
                 self.marks[marks] = behind
-        return [t.id for t in self.model.tokenize(body)] + behind
+        return ids + behind
 
     def _bulk(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.bodies) >= BODIES_KEPT:
+            self.bodies.clear()
         ids = list(map(self._plain, words))
         plain = np.fromiter((x is not None for x in ids), dtype=bool, count=len(ids))
         others = [w for w, x in zip(words, ids) if x is None]
@@ -440,16 +462,22 @@ def write_ids(
 
         for piece in slices(batches, most=ENCODED_BYTES):
             flat, counts = coder.encode(piece.column("text"))
-            ends = np.cumsum(counts)
-            flat, counts = np.insert(flat, ends, end_id), counts + 1
-            docs += piece.column("id").to_pylist()
-            sizes.append(counts)
-            flats.append(flat)
-            held += len(flat)
-            if held >= shard_ids:
-                yield row()
-                shard, start, held = shard + 1, start + held, 0
-                docs, sizes, flats = [], [], []
+            flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
+            ids, ends = piece.column("id").to_pylist(), np.cumsum(counts)
+            done = 0
+            while done < len(ids):
+                # as many documents as fill the shard
+                begin = int(ends[done] - counts[done])
+                stop = min(int(np.searchsorted(ends, begin + shard_ids - held)) + 1, len(ids))
+                docs += ids[done:stop]
+                sizes.append(counts[done:stop])
+                flats.append(flat[begin : int(ends[stop - 1])])
+                held += len(flats[-1])
+                done = stop
+                if held >= shard_ids:
+                    yield row()
+                    shard, start, held = shard + 1, start + held, 0
+                    docs, sizes, flats = [], [], []
         if docs:
             yield row()
 
@@ -483,12 +511,12 @@ def _decoded(spark: SparkSession, folder: str, schema: str, show) -> DataFrame:
             for row in range(batch.num_rows):
                 shard = {name: batch.column(name)[row] for name in batch.schema.names}
                 ids = Grammar(shard["grammar"].as_py()).ids()
-                sizes = np.array(shard["doc_sizes"].as_py(), dtype=np.int64)
+                sizes = shard["doc_sizes"].values.to_numpy().astype(np.int64)
                 ends = np.cumsum(sizes)
                 shown = [show(ids[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
                 columns = {
                     "part": pa.array([shard["part"].as_py()] * len(sizes), pa.int32()),
-                    "id": pa.array(shard["doc_ids"].as_py(), pa.int64()),
+                    "id": shard["doc_ids"].values,
                     "start": pa.array(ends - sizes + shard["start_in_part"].as_py()),
                 }
                 yield pa.RecordBatch.from_pydict(columns | {k: [x[k] for x in shown] for k in shown[0]})
