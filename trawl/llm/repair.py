@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trawl.llm.batches import WordMemo, narrowed, ragged, slices
+from trawl.llm.batches import WordMemo, narrowed, no_collection, ragged, slices
 
 SHARD_IDS = 1 << 20
 #: Bytes of text encoded at a time.
@@ -142,14 +142,17 @@ class _Pairs:
         self.at[found] = np.repeat(np.arange(self.n, n, dtype=np.int32), times)
         self.n, self.held = n, held
 
-    def drop(self, places: np.ndarray) -> None:
-        gone = self.at[places]
+    def replace(self, chosen: np.ndarray, rank: np.ndarray, hits: np.ndarray, second: np.ndarray, ahead: np.ndarray) -> None:
+        """The pairs at hits go, and those that begin within them or ahead of them."""
+        self.times[chosen] -= np.bincount(rank, minlength=len(chosen)).astype(np.int32)
+        beside = np.concatenate([second, ahead])
+        gone = self.at[beside]
         gone = gone[gone >= 0]
         if 8 * len(gone) > self.n:
             self.times[: self.n] -= np.bincount(gone, minlength=self.n).astype(np.int32)
         else:
             np.subtract.at(self.times, gone, 1)
-        self.at[places] = -1
+        self.at[beside] = self.at[hits] = -1
 
     def frequent(self) -> tuple[np.ndarray, float]:
         """The pairs to replace in this round, most frequent first, and the times each must stand."""
@@ -186,7 +189,6 @@ def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], righ
     before[0] = length
     symbols = np.r_[symbols, 0].astype(np.uint32)
     pairs = _Pairs(length)
-    made = np.zeros(length + 1, dtype=bool)
     places = np.arange(length - 1, dtype=np.int32)
     left, right = symbols[: length - 1], symbols[1:length]
     alone = _apart(np.r_[False, (left[1:] == left[:-1]) & (right[1:] == right[:-1])])
@@ -209,26 +211,22 @@ def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], righ
         rights.append(symbols[second[one]].astype(np.int64))
         numbers = (n_symbols + np.cumsum(held) - 1).astype(np.uint32)
         n_symbols += len(one)
-        ahead = before[hits].astype(np.int64)
-        made[second] = True
-        pairs.drop(np.concatenate([ahead[~made[ahead]], hits, second]))
-        made[second] = False
-        behind = after[second].astype(np.int64)
-        after[hits] = behind
-        before[behind] = hits
-        after[second] = -1
-        symbols[hits] = numbers[rank]
-        made[hits] = True
-        ahead = before[hits]
-        fresh = np.sort(np.concatenate([hits, ahead[~made[ahead]]]))
-        made[hits] = False
-        behind = after[fresh].astype(np.int64)
-        inside = (fresh != length) & (behind != length)
-        fresh, behind = fresh[inside], behind[inside]
-        left, right = symbols[fresh], symbols[behind]
-        touch = behind[:-1] == fresh[1:]
-        alone = _apart(np.r_[False, touch & (left[1:] == left[:-1]) & (right[1:] == right[:-1])]) if len(fresh) else touch
-        pairs.add(fresh[alone], left[alone], right[alone], n_symbols)
+        ahead, behind = before[hits].astype(np.int64), after[second].astype(np.int64)
+        # hits stand from the left on, so what is ahead of one may be the end of the last
+        lone = np.r_[True, ahead[1:] != second[:-1]]
+        pairs.replace(chosen, rank, hits, second, ahead[lone])
+        after[hits], before[behind], after[second] = behind, hits, -1
+        symbols[hits] = fresh = numbers[rank]
+        # pairs that begin ahead of a hit and at it, from the left
+        lone[0] &= ahead[0] != length
+        inside = np.stack([lone, behind != length], axis=1).ravel()
+        places = np.stack([ahead, hits], axis=1).ravel()[inside]
+        left = np.stack([symbols[ahead], fresh], axis=1).ravel()[inside]
+        right = np.stack([fresh, symbols[behind]], axis=1).ravel()[inside]
+        touch = np.stack([hits, behind], axis=1).ravel()[inside][:-1] == places[1:]
+        if len(places):
+            alone = _apart(np.r_[False, touch & (left[1:] == left[:-1]) & (right[1:] == right[:-1])])
+            pairs.add(places[alone], left[alone], right[alone], n_symbols)
 
 
 def _packed(values: np.ndarray, bits: int) -> bytes:
@@ -416,7 +414,10 @@ class Encoder:
 
         Lower-casing and cutting are Arrow's, so that only distinct words reach
         Python.  Texts with one of the tokenizer's marks go through it whole."""
-        texts = pc.fill_null(texts, "")
+        with no_collection():
+            return self._encoded(pc.fill_null(texts, ""))
+
+    def _encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         marked = np.zeros(len(texts), dtype=bool)
         for mark in self.own_marks:
             marked |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
