@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -229,6 +230,15 @@ def _replaced(symbols: np.ndarray, n_symbols: int, lefts: list[np.ndarray], righ
             pairs.add(places[alone], left[alone], right[alone], n_symbols)
 
 
+def _run_left(symbols: np.ndarray) -> bool:
+    """Whether a pair of one symbol with itself stands twice.  In a run of a
+    symbol every other pair counts, so a run that lost its beginning to a
+    neighbour may hold pairs that were not counted."""
+    same = np.flatnonzero(symbols[1:] == symbols[:-1])
+    same = same[_apart(np.r_[False, np.diff(same) == 1])] if len(same) else same
+    return len(np.unique(symbols[same])) < len(same)
+
+
 def _packed(values: np.ndarray, bits: int) -> bytes:
     """Numbers below 2 ** bits: their whole bytes one after the other, lowest
     first, each of all numbers, then their highest bits in a row."""
@@ -256,16 +266,16 @@ def compress(ids: np.ndarray, alphabet: int) -> bytes:
     symbols = ids.astype(np.int64)
     lefts, rights = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     while True:
-        n_rounds, n_symbols = len(lefts), alphabet + sum(map(len, lefts))
-        symbols = _replaced(symbols, n_symbols, lefts, rights)
-        # runs of one symbol that were cut by a neighbour are counted anew
-        if len(lefts) == n_rounds:
+        symbols = _replaced(symbols, alphabet + sum(map(len, lefts)), lefts, rights)
+        if not _run_left(symbols):
             break
     left, right = np.concatenate(lefts), np.concatenate(rights)
-    lengths = [1] * alphabet
-    for a, b in zip(left.tolist(), right.tolist()):
-        lengths.append(lengths[a] + lengths[b])
-    lengths = np.array(lengths[alphabet:], dtype=np.int64)
+    # a round's rules are made of the symbols of earlier ones
+    lengths, n = np.ones(alphabet + len(left), dtype=np.int64), alphabet
+    for a, b in zip(lefts, rights):
+        lengths[n : n + len(a)] = lengths[a] + lengths[b]
+        n += len(a)
+    lengths = lengths[alphabet:]
     bits = max(1, (alphabet + len(left) - 1).bit_length())
     head = struct.pack(HEAD, MAGIC, alphabet, len(left), len(symbols), bits)
     long = lengths[lengths >= LONG_RULE].astype("<u8")
@@ -341,8 +351,9 @@ class Encoder:
     go through the whole tokenizer, many in one string, told apart by offsets.
     """
 
-    # marks without the apostrophe, which the tokenizer may cut elsewhere
-    PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    PLAIN = re.compile("[a-zß-öø-ÿ]+")
+    # without the apostrophe, which the tokenizer may cut elsewhere
+    MARKS = string.punctuation.replace("'", "")
     TOGETHER = 2000
 
     def __init__(self, path: str):
@@ -368,10 +379,10 @@ class Encoder:
         """The ids of a plain word, None for others."""
         if not word:
             return []
-        found = self.PLAIN.fullmatch(word)
-        if found is None:
+        body = word.rstrip(self.MARKS)
+        if not (body.isascii() and body.isalpha()) and self.PLAIN.fullmatch(body) is None:
             return None
-        body, marks = found.groups()
+        marks = word[len(body) :]
         ids = self.bodies.get(body)
         if ids is None:
             letters = body if body.isascii() else body.encode().decode("latin-1").translate(self.letters)
