@@ -106,6 +106,22 @@ def test_tree_delete_beyond_the_broadcast_check(spark, make_elements, monkeypatc
     assert delete.delete_trees(uris, tree(make_elements))[1].collect()[0].deleted == 4
 
 
+def test_deep_trees_take_few_rounds(spark, monkeypatch):
+    """A chain of 10,000, a long circle below a root's child, and a root within another's tree."""
+    deep, ring = 10_000, 37
+    rows = [(f"d{i}", f"d{i - 1}" if i else None) for i in range(deep)]
+    rows += [(f"o{i}", f"o{(i - 1) % ring}") for i in range(ring)]
+    elements = spark.createDataFrame(rows, "id string, parent_id string").repartition(4)
+    roots = spark.createDataFrame([("top", "d0"), ("mid", "d9000"), ("ring", "o5"), ("ring", "o9")], "root_uri string, id string")
+    rounds = []
+    kept = delete.materialize
+    monkeypatch.setattr(delete, "materialize", lambda df: rounds.append(1) or kept(df))
+    found = {(r.root_uri, r.id) for r in delete.descendants(roots, elements).collect()}
+    want = {("top", f"d{i}") for i in range(deep)} | {("mid", f"d{i}") for i in range(9000, deep)}
+    assert found == want | {("ring", f"o{i}") for i in range(ring)}
+    assert len(rounds) <= 2 * 16
+
+
 def test_lookups(spark, make_elements):
     elements = make_elements([
         {"id": "d", "uri": "u", "labels": ["Document"], "metadata": '{"title":"T","ingestionTimestamp":"2024-01-02T03:04:05Z"}', "ingestion_timestamp": OLD},

@@ -21,26 +21,27 @@ def roots_by_uri(uris: DataFrame, elements: DataFrame) -> DataFrame:
 def descendants(roots: DataFrame, elements: DataFrame) -> DataFrame:
     """(root_uri, id) of each root and everything below it.
 
-    One equi-join per tree level.  Every level is written out, which ends the
-    lineage of the loop, and ids seen before are left out, so parent links in a
-    circle end too.
+    Parent links are doubled each round: after ``n`` rounds a link leads
+    ``2 ** n`` levels up, and every element within that distance of a root is
+    found, so rounds grow with the logarithm of the depth.  Links that lead
+    beyond the top go.  In a circle none does; there the loop ends when a link
+    is longer than there are elements.  Rounds are written out, which ends the
+    lineage of the loop.
     """
-    edges = elements.where("parent_id IS NOT NULL").select("parent_id", F.col("id").alias("child"))
-    frontier = materialize(roots.select("root_uri", "id").distinct())
-    levels = [frontier]
-    while not frontier.isEmpty():
-        below = (
-            join_checked(edges, frontier.withColumnRenamed("id", "parent_id"), "parent_id", spread="child")
-            .select("root_uri", F.col("child").alias("id"))
-            .distinct()
-        )
-        for seen in levels:
-            below = below.join(seen, ["root_uri", "id"], "left_anti")
-        frontier = materialize(below)
-        levels.append(frontier)
-    found = levels[0]
-    for level in levels[1:]:
-        found = found.unionByName(level)
+    found = materialize(roots.select("root_uri", "id").distinct())
+    links = materialize(
+        elements.where("parent_id IS NOT NULL AND id IS NOT NULL").select("id", F.col("parent_id").alias("up")).distinct()
+    )
+    left = most = links.count()
+    length = 1
+    while left and length <= most:
+        below = join_checked(links, found.withColumnRenamed("id", "up"), "up", spread="id").select("root_uri", "id")
+        found = materialize(found.unionByName(below).distinct())
+        # one parent may have much of the table as children; there the join's larger side is split
+        further = links.select(F.col("id").alias("up"), F.col("up").alias("top"))
+        links = materialize(links.join(further, "up").select("id", F.col("top").alias("up")).distinct())
+        left = links.count()
+        length *= 2
     return found
 
 
