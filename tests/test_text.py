@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trawl.functions import text as tx
+from trawl.functions.text import word_kinds
 from trawl.operators import lexicon
 from trawl.operators.query_terms import query_terms
 from trawl.operators.text_search import prefix_matches, text_matches, text_search
@@ -226,3 +227,40 @@ def test_rank_equals_the_product_over_all_pairs(spark):
                             d, pairs = abs(p - q), pairs + 1
                             left *= 1 - 0.1 * (1e-30 if d > 100 else 1 / (1.005 + 0.05 * math.exp(d / 1.5 - 2))) ** 0.5
         assert got[i] == (pytest.approx(1 - left, abs=1e-12) if pairs else 1e-20)
+
+
+KIND_CASES = {
+    "Mail John.Doe+x@Mail.Example.org, now.": ["mail", "john.doe+x@mail.example.org", "now"],
+    "See https://Example.com/a/b?c=1#d. Then": ["see", "https://example.com/a/b?c=1#d", "example.com", "then"],
+    "It costs $1,299.50 or 3.14, v2.0.1 too": ["it", "costs", "1,299.50", "or", "3.14", "v2.0.1", "too"],
+    "state-of-the-art co-op - x": ["state-of-the-art", "state", "of", "the", "art", "co-op", "co", "op", "x"],
+    "End.Next a@b http:// -1 10-20": ["end", "next", "a", "b", "http", "1", "10-20", "10", "20"],
+    "": [],
+}
+
+
+def test_word_kinds(spark):
+    rows = spark.createDataFrame([(t, w) for t, w in KIND_CASES.items()] + [(None, [])], "text string, want array<string>")
+    for r in rows.withColumn("got", word_kinds(F.col("text"))).collect():
+        assert r.got == r.want, r.text
+
+
+def test_search_by_kinds_of_words(spark):
+    chunks = spark.createDataFrame(
+        [("1", "Write to ann@x.org about well-known costs of 9.99"), ("2", "x.org, ann and 9 or 99"), ("3", "Well known since 1999")],
+        "id string, text string",
+    )
+    asked = {"mail": "ann@x.org", "price": "9.99", "whole": "well-known", "part": "known", "several": "well-known cost 9.99"}
+    queries = spark.createDataFrame(list(asked.items()), "query_id string, query string")
+    want = {("mail", "1"), ("price", "1"), ("whole", "1"), ("part", "1"), ("part", "3"), ("several", "1")}
+    index = lexicon.postings(chunks, "english_kinds")
+    for held in (None, index):
+        found = text_matches(queries, chunks, syntax="plain", kind="english_kinds", index=held).collect()
+        assert {(r.query_id, r.id) for r in found} == want
+
+
+def test_last_part_of_hyphenated_words_is_stemmed(spark):
+    vocabulary = spark.createDataFrame([(w,) for w in ("re-runs", "runs", "runs@x.org", "1.5", "the")], "word string")
+    got = {r.word: r.lexeme for r in lexicon.ENGLISH_KINDS.lexemes(vocabulary).collect()}
+    assert got == {"re-runs": "re-run", "runs": "run", "runs@x.org": "runs@x.org", "1.5": "1.5"}
+    assert all(lexicon.ENGLISH_KINDS.lexeme(w) == got.get(w) for w in ("re-runs", "runs", "runs@x.org", "1.5", "the"))

@@ -1,11 +1,20 @@
+import hashlib
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from trawl.functions.term_vectors import TermEmbedder
 from trawl.functions.vectors import cosine_similarity
+from trawl.operators.entities import entity_vector_search
+from trawl.operators.hybrid_search import hybrid_search
 from trawl.operators.vector_search import (
     assign_cells, nearest, nearest_approximate, recall, train_cells, vector_search,
 )
+from trawl.sources.schemas import conform, conform_entities
 
 RNG = np.random.default_rng(3)
 # a third of the corpus are copies of one vector, one vector is zero
@@ -109,3 +118,50 @@ def test_close_scores_keep_their_order(spark):
     rows = spark.createDataFrame([("a", angle(0.9000001)), ("b", angle(0.9000004))], "id string, embedding array<float>")
     one = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<float>")
     assert [r.id for r in nearest(one, rows, 1).collect()] == ["b"]
+
+
+def hashed(texts, corpus):
+    """Brute force of the hashed words."""
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    digest = lambda w: hashlib.md5(w.encode()).hexdigest()
+    texts_with = Counter(b for t in corpus for b in {int(digest(w)[:4], 16) for w in split(t)})
+    out = []
+    for t in texts:
+        vector = [0.0] * 64
+        for h in map(digest, split(t)):
+            bucket = int(h[:4], 16)
+            weight = math.log((1 + len(corpus)) / (1 + texts_with[bucket])) + 1
+            vector[bucket % 64] += weight if h[4] < "8" else -weight
+        out.append(vector if split(t) else None)
+    return out
+
+
+def test_hashed_term_vectors(spark, make_elements):
+    texts = ["The cat sat on the mat", "the dog, the cat", "Äpfel und 日本語", "", None, " ?! ", "of the the the", "cat"]
+    rows = spark.createDataFrame([(str(i), t, [0.5]) for i, t in enumerate(texts)], "id string, text string, embedding array<double>")
+    embedder = TermEmbedder.fit(rows)
+    got = {r.id: r.embedding for r in embedder(rows, key="id", text="text").collect()}
+    for i, want in enumerate(hashed(texts, texts)):
+        assert (got[str(i)] is None) == (want is None)
+        assert want is None or np.allclose(got[str(i)], want)
+    # words that the corpus lacks have a weight too
+    other = embedder(spark.createDataFrame([("q", "zebra cat")], "query_id string, query string")).collect()[0].embedding
+    assert np.allclose(other, hashed(["zebra cat"], texts)[0])
+    none = rows.limit(0)
+    assert TermEmbedder.fit(none)(none, key="id", text="text").count() == 0
+
+
+def test_searches_embed_their_queries(spark, make_elements):
+    chunks = make_elements([
+        {"id": str(i), "text": t, "labels": ["Chunk"]}
+        for i, t in enumerate(["apples and pears", "pears alone", "trains and planes", "apples apples"])
+    ])
+    embedder = TermEmbedder.fit(chunks)
+    held = conform(embedder(chunks, key="id", text="text"))
+    queries = spark.createDataFrame([("a", "apples"), ("p", "pears")], "query_id string, query string")
+    first = lambda found: {r.query_id: r.id for r in found.where("rank = 1").collect()}
+    assert first(vector_search(queries, held, 2, embed=embedder)) == {"a": "3", "p": "1"}
+    found = hybrid_search(queries, held, 2, embed=embedder).collect()
+    assert {r.query_id: r.id for r in found if r.rank == 1} == {"a": "3", "p": "1"}
+    people = held.select("id", F.col("text").alias("name"), F.col("text").alias("description"), "labels", "metadata", "embedding")
+    assert first(entity_vector_search(queries, conform_entities(people), 2, embed=embedder)) == {"a": "3", "p": "1"}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.filters import Filter, combine
 from trawl.functions.properties import typed_value
-from trawl.operators.vector_search import nearest
+from trawl.operators.vector_search import Embedder, embedded, nearest
 from trawl.plans.sizing import join_checked
 from trawl.plans.topk import bounded_rows, cut, top_k, with_payload
 
@@ -48,12 +48,15 @@ def entity_vector_search(
     entity_filter: Filter | None = None,
     context: str | None = None,
     post_filter: bool = False,
+    embed: Embedder | None = None,
 ) -> DataFrame:
     """Entities nearest to each query.
 
     A ``context`` narrows ahead of the top-k, so a scope gets its full ``k``;
-    ``post_filter`` narrows the finished top-k instead.
+    ``post_filter`` narrows the finished top-k instead.  ``embed`` (DataFrame
+    -> DataFrame) fills the queries' vectors from their texts.
     """
+    queries = embedded(queries, embed)
     corpus = entities.where(combine(metadata_filter, entity_filter))
     if not post_filter:
         corpus = scoped(corpus, context)

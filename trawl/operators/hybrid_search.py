@@ -10,7 +10,7 @@ from trawl.functions.vectors import cosine_similarity
 from trawl.operators.fuzzy_search import FUZZY_THRESHOLD, WordTable, best_fuzzy, check_threshold
 from trawl.operators.lexicon import Analyzer
 from trawl.operators.text_search import text_matches
-from trawl.operators.vector_search import is_chunk
+from trawl.operators.vector_search import Embedder, embedded, is_chunk
 from trawl.plans.lineage import materialize
 from trawl.plans.sizing import join_checked
 from trawl.plans.topk import bounded_rows, cut, top_k, with_payload
@@ -84,13 +84,16 @@ def hybrid_search(
     index_covers_all: bool = False,
     words: WordTable | None = None,
     payload: bool = True,
+    embed: Embedder | None = None,
 ) -> DataFrame:
     """Weighted vector and text score of the text matches, best ``k`` first.
 
     A query left without a result after the threshold is answered by fuzzy
     search; ``strategy`` tells which of the two answered.  ``words`` is a
-    stored word table of the chunks for the latter.
+    stored word table of the chunks for the latter.  ``embed`` (DataFrame ->
+    DataFrame) fills the queries' vectors from their texts.
     """
+    queries = embedded(queries, embed)
     check_threshold(fuzzy_threshold)
     chunks = elements.where(is_chunk())
     scored = hybrid_scores(

@@ -4,20 +4,23 @@ Two analyzers: ``simple`` takes lower-case words as they are, ``english`` drops
 stop words (their positions stay counted) and stems.  All words of a text are
 in one row, so postings are made where the text is read: each Arrow batch stems
 its distinct words once and groups positions, and nothing is shuffled.
+``simple_kinds`` and ``english_kinds`` keep addresses, urls, decimals and
+hyphenated words whole, the latter with their parts behind them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.stemming import STOP_WORDS, english_stem, stem_word
-from trawl.functions.text import words
+from trawl.functions.text import WHOLE_MARKS, word_kinds, words
 from trawl.plans.sizing import join_checked
 
 
@@ -26,22 +29,39 @@ class Analyzer:
     name: str
     stop_words: tuple[str, ...] = ()
     stems: bool = False
+    kinds: bool = False
+
+    def words(self, text: Column) -> Column:
+        """The words of a text in order, those of other kinds kept whole if asked for."""
+        return word_kinds(text) if self.kinds else words(text)
 
     def lexemes(self, vocabulary: DataFrame) -> DataFrame:
         """(word, lexeme) for a one-column table of distinct ``word``s."""
         kept = vocabulary.where(~F.col("word").isin(*self.stop_words)) if self.stop_words else vocabulary
-        return kept.withColumn("lexeme", english_stem("word") if self.stems else F.col("word"))
+        if not self.stems:
+            return kept.withColumn("lexeme", F.col("word"))
+        # of a hyphenated word the last part is stemmed; other kinds stay as they are
+        last = F.substring_index("word", "-", -1)
+        head = F.col("word").substr(F.lit(1), F.length("word") - F.length(last))
+        return kept.withColumn(
+            "lexeme", F.when(F.col("word").rlike(WHOLE_MARKS), F.col("word")).otherwise(F.concat(head, english_stem(last)))
+        )
 
     def lexeme(self, word: str) -> str | None:
         """The lexeme of one word, None for a stop word."""
         if word in self.stop_words:
             return None
-        return stem_word(word) if self.stems else word
+        if not self.stems or re.search(WHOLE_MARKS, word):
+            return word
+        head, hyphen, last = word.rpartition("-")
+        return head + hyphen + stem_word(last)
 
 
 SIMPLE = Analyzer("simple")
 ENGLISH = Analyzer("english", STOP_WORDS, stems=True)
-ANALYZERS = {a.name: a for a in (SIMPLE, ENGLISH)}
+SIMPLE_KINDS = Analyzer("simple_kinds", kinds=True)
+ENGLISH_KINDS = Analyzer("english_kinds", STOP_WORDS, stems=True, kinds=True)
+ANALYZERS = {a.name: a for a in (SIMPLE, ENGLISH, SIMPLE_KINDS, ENGLISH_KINDS)}
 
 
 def analyzer(name: str | Analyzer) -> Analyzer:
@@ -52,9 +72,10 @@ def analyzer(name: str | Analyzer) -> Analyzer:
     return ANALYZERS[name]
 
 
-def occurrences(texts: DataFrame, text: str = "text", key: str = "id") -> DataFrame:
+def occurrences(texts: DataFrame, text: str = "text", key: str = "id", kind: str | Analyzer = SIMPLE) -> DataFrame:
     """(key, pos, word) for every word of every text; positions from 1."""
-    return texts.select(key, F.posexplode(words(F.col(text))).alias("pos", "word")).withColumn("pos", F.col("pos") + 1)
+    held = F.posexplode(analyzer(kind).words(F.col(text))).alias("pos", "word")
+    return texts.select(key, held).withColumn("pos", F.col("pos") + 1)
 
 
 def _grouped(kind: Analyzer):
@@ -91,8 +112,9 @@ def _grouped(kind: Analyzer):
 
 def postings(texts: DataFrame, kind: str | Analyzer = "english") -> DataFrame:
     """(id, lexeme, positions): the inverted table of all texts, in one scan."""
-    held = texts.select(F.col("id").cast("string").alias("id"), words(F.col("text")).alias("words"))
-    return held.mapInArrow(_grouped(analyzer(kind)), "id string, lexeme string, positions array<int>")
+    a = analyzer(kind)
+    held = texts.select(F.col("id").cast("string").alias("id"), a.words(F.col("text")).alias("words"))
+    return held.mapInArrow(_grouped(a), "id string, lexeme string, positions array<int>")
 
 
 def matching_positions(texts: DataFrame, wanted: DataFrame, kind: str | Analyzer = "english") -> DataFrame:
@@ -105,7 +127,7 @@ def matching_positions(texts: DataFrame, wanted: DataFrame, kind: str | Analyzer
     if a.stems:
         return join_checked(postings(texts, a), wanted, "lexeme", spread="id")
     spelled = a.lexemes(wanted.select(F.col("lexeme").alias("word")))
-    hits = join_checked(occurrences(texts), spelled, "word", spread="id")
+    hits = join_checked(occurrences(texts, kind=a), spelled, "word", spread="id")
     return (
         hits.repartition("id").groupBy("id", "lexeme").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
     )

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import words
 from trawl.operators.lexicon import Analyzer, analyzer
 
 # Fixed values: "or" outside quotes, and one unit of a query (a quoted part or
@@ -24,6 +23,7 @@ def query_terms(queries: DataFrame, syntax: str = "web", kind: str | Analyzer =
     """(query_id, clause, group_no, negated, ordered, offset, lexeme) rows."""
     if syntax not in ("web", "plain"):
         raise ValueError("syntax is 'web' or 'plain'")
+    a = analyzer(kind)
     base = queries.select(F.col("query_id").cast("string").alias("query_id"), F.trim("query").alias("query"))
     if syntax == "web":
         units = (
@@ -42,9 +42,8 @@ def query_terms(queries: DataFrame, syntax: str = "web", kind: str | Analyzer =
         )
     spelled = units.select(
         "query_id", "clause", "unit_no", "negated", "ordered",
-        F.posexplode(words(F.col("unit"))).alias("offset", "word"),
+        F.posexplode(a.words(F.col("unit"))).alias("offset", "word"),
     )
-    a = analyzer(kind)
     known = a.lexemes(spelled.select("word").distinct()) if a.stems or a.stop_words else None
     terms = spelled.withColumnRenamed("word", "lexeme") if known is None else spelled.join(known, "word").drop("word")
     together = F.col("negated") | F.col("ordered")

@@ -9,7 +9,7 @@ scans as it has blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from math import ceil
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.filters import Filter, combine
+from trawl.plans.lineage import materialize
 from trawl.plans.topk import bounded_rows, check_k, cut, top_k, with_payload
 
 QUERY_BLOCK_BYTES = 32 << 20
@@ -26,12 +27,18 @@ QUERY_BLOCK_ROWS = 16_384
 SLICE_ROWS, SLICE_QUERIES = 1024, 2048
 HITS = "query_id string, id string, score double"
 EVERYWHERE = -1
+Embedder = Callable[[DataFrame], DataFrame]
 #: More than a matrix product of unit vectors can be off.
 MATRIX_ERROR = 1e-9
 #: Share of the cells that an approximate search visits by default.
 PROBED = 0.7
 
 
+def embedded(queries: DataFrame, embed: Embedder | None) -> DataFrame:
+    """The queries with their vectors; an embedder's are made once."""
+    return queries if embed is None else materialize(embed(queries))
+
+
 def is_chunk() -> Column:
     """Only chunks are searchable."""
     return F.array_contains("labels", "Chunk")
@@ -186,12 +193,15 @@ def vector_search(
     metadata_filter: Filter | None = None,
     entity_filter: Filter | None = None,
     payload: bool = True,
+    embed: Embedder | None = None,
 ) -> DataFrame:
     """Chunks nearest to each query, best ``k`` first, then the score cut.
 
     Filters narrow the corpus ahead of the top-k; pass ``ceiling=None`` with
-    them to take the threshold as it is.
+    them to take the threshold as it is.  ``embed`` (DataFrame -> DataFrame)
+    fills the queries' vectors from their texts.
     """
+    queries = embedded(queries, embed)
     corpus = elements.where(is_chunk() & combine(metadata_filter, entity_filter))
     ranked = cut(nearest(queries, corpus, k), threshold, ceiling)
     return with_payload(ranked, elements, bounded_rows(queries, k)) if payload else ranked

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions import text as tx
 from trawl.functions.filters import Eq, HasAnyLabel, In
+from trawl.functions.term_vectors import TermEmbedder
 from trawl.functions.trigrams import similarity
 from trawl.functions.vectors import cosine_similarity
 from trawl.operators import lexicon
@@ -92,6 +93,45 @@ def lexemes_english(spark, sf):
     )
 
 
+PAGE_WORDS = f"""
+page_words AS (
+  SELECT 'page-' || page_id AS id, {sql.word_kinds("concat_ws(' ', url, html)")} AS ws FROM pages
+)"""
+
+
+def page_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with their urls, decimals and hyphens as texts."""
+    return c.read(spark, sf, "pages").select(
+        F.concat(F.lit("page-"), "page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text")
+    )
+
+
+@query("lexemes_kinds", f"""
+WITH {PAGE_WORDS},
+post AS (SELECT id, unnest(ws) AS lexeme, unnest(range(1, len(ws) + 1)) AS pos FROM page_words)
+SELECT id, lexeme, count(*) AS hits, string_agg(pos, ',' ORDER BY pos) AS positions FROM post GROUP BY ALL
+""")
+def lexemes_kinds(spark, sf):
+    """Urls, addresses, decimals and hyphenated words whole, with their parts."""
+    table = lexicon.postings(page_texts(spark, sf), "simple_kinds")
+    return table.select(
+        "id", "lexeme", F.size("positions").cast("bigint").alias("hits"),
+        F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"),
+    )
+
+
+@query("text_matches_kinds", f"""
+WITH {PAGE_WORDS},
+asked AS (SELECT 'page-' || page_id AS query_id, {sql.word_kinds("url")} AS ws FROM pages)
+SELECT query_id, id FROM asked, page_words p WHERE len(asked.ws) > 0 AND list_has_all(p.ws, asked.ws)
+""")
+def text_matches_kinds(spark, sf):
+    """The pages that name another page's url whole."""
+    asked = c.read(spark, sf, "pages").select(F.concat(F.lit("page-"), "page_id").alias("query_id"), F.col("url").alias("query"))
+    found = text_matches(asked, page_texts(spark, sf), syntax="plain", kind="simple_kinds")
+    return found.select("query_id", "id")
+
+
 # --- vectors ---------------------------------------------------------------
 
 
@@ -143,6 +183,26 @@ def vectors_filtered(spark, sf):
     return found.select(*shown())
 
 
+@query("vector_search_embed", f"""
+WITH {sql.CHUNKS}, {sql.ITEM_QUERIES}, {sql.term_vectors("chunks", "id", "text")},
+{sql.term_vectors("item_queries", "query_id", "query")},
+scored AS (
+  SELECT query_id, id, list_cosine_similarity(q.embedding::FLOAT[]::DOUBLE[], c.embedding::FLOAT[]::DOUBLE[]) AS score
+  FROM item_queries_vectors q, chunks_vectors c
+  WHERE list_max(c.embedding) > 0 OR list_min(c.embedding) < 0
+), {sql.top_k("scored", "score")}
+SELECT query_id, rank, rounded AS score FROM ranked WHERE score >= 0
+""")
+def vectors_embed(spark, sf):
+    """Chunks nearest to query texts that an embedder turns into vectors."""
+    chunks = texts(spark, sf)
+    embedder = TermEmbedder.fit(chunks)
+    asked = c.benchmark_queries(spark, sf).drop("embedding")
+    held = embedder(chunks, key="id", text="text")
+    found = vector_search(asked, held, 10, payload=False, embed=embedder)
+    return found.select("query_id", "rank", F.round("score", 6).alias("score"))
+
+
 def _approximate(spark, sf, probes=None):
     """Queries, corpus and what the approximate search finds; -1 probes all cells."""
     corpus = materialize(c.chunks(spark, sf).where("embedding IS NOT NULL").select("id", "embedding"))

@@ -313,3 +313,45 @@ vocabulary AS (SELECT word FROM placed {more}),
 distinct_words AS (SELECT DISTINCT word FROM vocabulary),
 {stems("distinct_words").strip()},
 post AS (SELECT id, stem AS lexeme, pos FROM placed JOIN stemmed USING (word)){terms}"""
+
+
+def term_vectors(table: str, key: str, text: str) -> str:
+    """CTE ``<table>_vectors`` (key, embedding): hashed words, weighed over the chunks."""
+    weights = """
+buckets AS (
+  SELECT bucket, count(*) AS texts FROM (
+    SELECT unnest(list_distinct([CAST('0x' || substring(md5(w), 1, 4) AS INTEGER)
+                                 FOR w IN regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')])) AS bucket FROM chunks
+  ) GROUP BY bucket
+),
+size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM chunks),""" if table == "chunks" else ""
+    return f"""{weights}
+{table}_words AS (SELECT {key}, md5(unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+'))) AS h FROM {table}),
+{table}_signed AS (
+  SELECT {key}, CAST('0x' || substring(h, 1, 4) AS INTEGER) AS bucket,
+         CASE WHEN substring(h, 5, 1) < '8' THEN 1 ELSE -1 END AS sign FROM {table}_words
+),
+{table}_sums AS (
+  SELECT {key}, bucket % 64 AS slot, sum(sign * (ln((1 + n) / (1 + CAST(coalesce(texts, 0) AS DOUBLE))) + 1)) AS value
+  FROM {table}_signed LEFT JOIN buckets USING (bucket), size GROUP BY ALL
+),
+{table}_vectors AS (
+  SELECT {key}, list(coalesce(value, 0) ORDER BY slot) AS embedding
+  FROM (SELECT DISTINCT {key} FROM {table}_sums) CROSS JOIN (SELECT unnest(range(64)) AS slot) LEFT JOIN {table}_sums USING ({key}, slot)
+  GROUP BY {key}
+)"""
+
+
+def word_kinds(text: str) -> str:
+    """The words of a text with addresses, urls, decimals and hyphenated words whole."""
+    found = (
+        "regexp_extract_all(lower(" + text + "), "
+        "'[\\p{L}\\p{N}][\\p{L}\\p{N}._%+-]{0,63}@[\\p{L}\\p{N}-]+(?:\\.[\\p{L}\\p{N}-]+)+"
+        "|[a-z][a-z0-9+.-]{0,15}://[^\\x00-\\x20<>\"]*[\\p{L}\\p{N}/]"
+        "|v?\\p{N}+(?:[.,]\\p{N}+)+"
+        "|[\\p{L}\\p{N}]+(?:-[\\p{L}\\p{N}]+)*')"
+    )
+    return f"""flatten([
+      CASE WHEN contains(w, '://') THEN [w, regexp_extract(w, '://([^/?#]*)', 1)]
+           WHEN regexp_matches(w, '^[\\p{{L}}\\p{{N}}]+(-[\\p{{L}}\\p{{N}}]+)+$') THEN list_concat([w], string_split(w, '-'))
+           ELSE [w] END FOR w IN {found}])"""

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from trawl.functions.term_vectors import TermEmbedder
 from trawl.operators import delete, lookup, upsert
 from trawl.plans.lineage import checkpoint_folder
 from trawl.plans.querybook import sql
@@ -189,20 +187,24 @@ def transformer(spark, sf):
     return after.select("id", "text", "urtext")
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def digest_vector(texts: pd.Series) -> pd.Series:
-    """A stand-in embedder: eight numbers from a digest of the text."""
-    return texts.map(lambda t: [b / 255.0 for b in hashlib.md5((t or "").encode()).digest()[:8]])
-
-
 @query("embedder_hook", f"""
-WITH {sql.CHUNKS}
-SELECT id, 8 AS dimension, round(CAST('0x' || substring(md5(text), 1, 2) AS INTEGER) / 255.0, 4) AS first FROM chunks
+WITH {sql.CHUNKS}, {sql.term_vectors("chunks", "id", "text")}
+SELECT id, CASE WHEN v.id IS NULL THEN NULL ELSE 64 END AS dimension, round(v.total, 4) AS total,
+       round(v.embedding[1], 4) AS first
+FROM chunks LEFT JOIN (
+  SELECT id, embedding, list_sum([(i + 1) * embedding[i + 1] FOR i IN range(64)]) AS total FROM chunks_vectors
+) v USING (id)
 """)
 def embedder(spark, sf):
-    """A user's pandas UDF fills the embedding column."""
-    rows = upsert.embed_texts(c.chunks(spark, sf, embeddings=False), digest_vector)
-    return rows.select("id", F.size("embedding").alias("dimension"), F.round(F.col("embedding")[0].cast("double"), 4).alias("first"))
+    """An embedder fills the embedding column: hashed words, weighed by their rarity."""
+    chunks = c.chunks(spark, sf, embeddings=False)
+    rows = TermEmbedder.fit(chunks)(chunks, key="id", text="text")
+    slots = F.col("embedding")
+    total = F.aggregate(F.transform(slots, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    return rows.select(
+        "id", F.when(slots.isNotNull(), F.size(slots)).alias("dimension"), F.round(total, 4).alias("total"),
+        F.round(slots[0], 4).alias("first"),
+    )
 
 
 def _store(spark) -> ContentStore:
