@@ -2,9 +2,11 @@
 
 Each line of a text is held against three rules in turn:
 
-- punctuation: running text has sentence ends.  A line without one, a line
-  with more loose symbols or exclamation marks than half its words, and a line
-  nearly all in capitals fail.
+- punctuation: running text has sentence ends, in any script's marks.  A line
+  without one, a line with more loose symbols or exclamation marks than half
+  its words, and a line nearly all in capitals fail.  Lines mostly in scripts
+  that mark no sentence ends, and list items of four words or more that are
+  mostly letters, need none.
 - navigation: a line cut up by menu separators fails.
 - boilerplate: a short line holding a stock phrase of web pages fails.
 
@@ -23,6 +25,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from trawl.llm.batches import filled, narrowed, per_text
@@ -33,7 +36,15 @@ BOILERPLATE = (
     "log in to", "powered by", "privacy policy", "sign up for", "subscribe to our", "terms of service",
     "terms of use",
 )
-SENTENCE_END = re.compile(r"[.!?…。！？:;][\"'”’»)\]*]*(?:\s|$)")
+#: Marks that end a sentence by their Unicode property, and three that may.
+TERMINALS = "".join(regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20000)])))) + "…:;：；"
+SENTENCE_END = re.compile(rf"[{re.escape(TERMINALS)}][\"'”’»)\]*」』）]*(?:\s|$)")
+#: Scripts written without marks at sentence ends.
+UNMARKED = regex.compile(r"[\p{Thai}\p{Lao}\p{Tibetan}\p{Khmer}\p{Myanmar}\p{Javanese}]")
+LIST_ITEM = re.compile(r"\s*(?:[-*•‣◦–]|\d{1,3}[.)]|[A-Za-z][.)])\s+\S")
+ITEM_WORDS = 4
+#: Menu separators beyond ASCII.
+FURTHER_SEPARATORS = "·»›•→"
 SYMBOLS = b"#*$%&|<>"
 SEPARATORS = b"|>"
 #: A line with this many words or fewer may be boilerplate.
@@ -54,15 +65,26 @@ def _symbols(raw: bytes, which: bytes) -> int:
     return len(raw) - len(raw.translate(None, which))
 
 
+def _needs_no_end(line: str, words: int) -> bool:
+    letters = sum(map(str.isalpha, line))
+    if not line.isascii() and 2 * len(UNMARKED.findall(line)) > letters > 0:
+        return True
+    return words >= ITEM_WORDS and LIST_ITEM.match(line) is not None and 2 * letters > len(line)
+
+
 def failing_rule(line: str) -> str | None:
     """The first rule that ``line`` breaks; lines without a word break none."""
     raw = line.encode()
     words = len(raw.split())
     if not words:
         return None
-    if 2 * _symbols(raw, SYMBOLS + b"!") > words and words > 1 or not SENTENCE_END.search(line):
-        return "navigation" if 5 * _symbols(raw, SEPARATORS) >= words else "punctuation"
-    if 5 * _symbols(raw, SEPARATORS) >= words:
+    separators = _symbols(raw, SEPARATORS)
+    if not line.isascii():
+        # one at the beginning marks a list item
+        separators += sum(line.count(c, 1) for c in FURTHER_SEPARATORS)
+    if 2 * _symbols(raw, SYMBOLS + b"!") > words and words > 1 or not (SENTENCE_END.search(line) or _needs_no_end(line, words)):
+        return "navigation" if 5 * separators >= words else "punctuation"
+    if 5 * separators >= words:
         return "navigation"
     if words >= 5 and line.upper() == line and line.lower() != line:
         return "punctuation"

@@ -79,7 +79,16 @@ def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, byte
 
 def repeated_units(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, tag, start, stop, high, low, kept_id, kept_start): a row per unit to
-    remove, with the place of the one that stays.  ``tag`` is the text's hash."""
+    remove, with the place of the one that stays.  ``tag`` is the text's hash.
+    Of a sentence that stood before by its line and by what is ahead of it, the
+    earlier place is shown."""
+    kept = F.struct(F.col("kept.no_id").alias("no_id"), "kept_id", F.col("kept.tag").alias("kept_tag"), "kept_start", "high", "low")
+    spans = _repeats(rows, id_column, text_column, min_words).groupBy("id", "tag", "start", "stop").agg(F.min(kept).alias("first"))
+    return spans.select("id", "tag", "start", "stop", "first.high", "first.low", "first.kept_id", "first.kept_start")
+
+
+def _repeats(rows: DataFrame, id_column: str, text_column: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """A row per digest that stood before; a span may have two."""
 
     def run(batches):
         for piece in slices(batches):
@@ -105,7 +114,7 @@ def repeated_units(rows: DataFrame, id_column: str = "doc_id", text_column: str
     return (
         units.join(firsts, ["high", "low"])
         .where(~place.eqNullSafe(F.col("kept")))
-        .select("id", "tag", "start", "stop", "high", "low", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start"))
+        .select("id", "tag", "start", "stop", "high", "low", "kept", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start"))
     )
 
 
@@ -149,7 +158,7 @@ def remove_spans(rows: DataFrame, spans: DataFrame, id_column: str = "doc_id", t
 def without_repeats(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", size_column: str | None = None) -> DataFrame:
     """The rows, all columns kept, without their repeated units; texts that were
     cut and have nothing but white space left go.  ``size_column`` is set to the new length."""
-    cut = _cut(rows, repeated_units(rows, id_column, text_column), id_column, text_column)
+    cut = _cut(rows, _repeats(rows, id_column, text_column), id_column, text_column)
     spots, touched = cut.columns[-2:]
     text = F.col(text_column)
     changed = cut.where(~F.col(touched) | text.rlike(INK)).drop(spots, touched)
