@@ -511,6 +511,44 @@ def test_licenses(spark, rows, empty):
     assert licenses.scan_licenses(rows).count() == len(TEXTS) and licenses.scan_licenses(empty).count() == 0
 
 
+def test_every_template_is_found_and_base_figures_match_brute_force(spark):
+    rng = np.random.default_rng(21)
+    filler = "the of to and license this software is x1 y2 version 2 permission any über".split()
+    say = lambda n: [str(w) for w in rng.choice(filler, n)]
+    docs, want = [], {}
+    for i, (label, template, phrases) in enumerate(licenses.TEMPLATES):
+        other_label, other, _ = licenses.TEMPLATES[int(rng.integers(len(licenses.TEMPLATES)))]
+        # a word beyond the mandatory phrases is changed in long notices
+        words = template.split()
+        free = [k for k, w in enumerate(words) if not any(w in p.split() for p in phrases)]
+        if len(words) > 20 and free:
+            words[free[0]] = "changed"
+        text = " ".join([*say(30), *words, *say(40), other, *say(20)])
+        docs.append((i, text.replace(" license ", " License, ").upper() if i % 2 else text))
+        want[i] = {label, other_label}
+    gone = len(docs)
+    for i, (_, template, phrases) in enumerate(licenses.TEMPLATES):
+        # the mandatory phrase is broken, all words are there
+        docs.append((gone + i, " ".join([*say(5), *reversed(template.split()), *say(5)])))
+    bits = ["under", "the", "mit", "license", "cc", "by", "nc", "apache", "version", "2", ",", "-", "é", "CC", "\n"]
+    docs += [(1000 + i, " ".join(rng.choice(bits, 60))) for i in range(200)]
+    docs += [(2000, "under the MIT license cc by nc cc BY-NC apache license version 2"), (2001, None), (2002, "")]
+    got = {r.id: r for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, labels in want.items():
+        assert labels <= set(got[i].labels.split(",")), (docs[i][1], got[i].labels)
+        assert 0.9 <= got[i].score <= 1
+    long_ones = [i for i, (_, t, _) in enumerate(licenses.TEMPLATES) if len(t.split()) > 20]
+    assert all(licenses.TEMPLATES[i][0] not in got[gone + i].labels.split(",") for i in long_ones)
+    for i, text in docs:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        places = [(k, label) for phrase, label in licenses.BASE for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
+        at = [k for k, _ in places]
+        figures = (len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == figures
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+
+
 def test_crc_is_of_all_ids(spark, rows, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     repair.write_ids(rows, path, str(tmp_path / "c"), 1)

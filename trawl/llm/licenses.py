@@ -2,10 +2,12 @@
 
 Templates are the notices listed below.  Words of all templates make a small
 index: word -> (template, position).  How many texts of the corpus hold each
-of these words is counted over all texts; with it every template is looked up
-by its words of highest inverse document frequency.  In a text, each place of
-such a word votes for where a template would begin; votes that agree on a
-beginning, give or take ``SLACK`` words, make a candidate.  It becomes a label when the
+of these words is counted over all texts.  Of a text's own license words those
+of highest inverse document frequency are looked up, down to ``ANCHORS`` for
+each template whose mandatory words the text has, so that a notice is not lost
+beside another one or with a rare word left out.  Each place of such a word
+votes for where a template would begin; votes that agree on a beginning, give
+or take ``SLACK`` words, make a candidate.  It becomes a label when the
 template's mandatory phrases stand there word by word.
 
 Phrases that stand anywhere (``BASE``) label a text by themselves.
@@ -19,6 +21,7 @@ result; further columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from math import log
@@ -73,8 +76,91 @@ TEMPLATES = (
         ("creative commons attribution noncommercial",),
     ),
     ("reserved", "all rights reserved", ("all rights reserved",)),
+    (
+        "gpl-2",
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+        "the free software foundation either version 2 of the license or at your option any later version",
+        ("gnu general public license", "either version 2 of the license"),
+    ),
+    ("gpl-2", "this work is licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    (
+        "lgpl-2.1",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published "
+        "by the free software foundation either version 2 1 of the license or at your option any later version",
+        ("gnu lesser general public license", "either version 2 1 of the license"),
+    ),
+    (
+        "lgpl-3",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published "
+        "by the free software foundation either version 3 of the license or at your option any later version",
+        ("gnu lesser general public license", "either version 3 of the license"),
+    ),
+    (
+        "agpl-3",
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published "
+        "by the free software foundation either version 3 of the license or at your option any later version",
+        ("gnu affero general public license", "either version 3 of the license"),
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        ("permission to use copy modify and or distribute this software", "this permission notice appear in all copies"),
+    ),
+    (
+        "epl-2",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+        ("eclipse public license 2 0",),
+    ),
+    (
+        "epl-2",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0",
+        ("eclipse public license v 2 0",),
+    ),
+    (
+        "cc-by",
+        "this work is licensed under a creative commons attribution 4 0 international license",
+        ("creative commons attribution 4 0",),
+    ),
+    ("cc-by", "licensed under cc by 4 0", ("cc by 4 0",)),
+    (
+        "cc-by-sa",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+        ("creative commons attribution sharealike",),
+    ),
+    ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
+    (
+        "cc-by-nd",
+        "this work is licensed under a creative commons attribution noderivatives 4 0 international license",
+        ("creative commons attribution noderivatives",),
+    ),
+    (
+        "cc0",
+        "to the extent possible under law the author has dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide",
+        ("copyright and related and neighboring rights", "to the public domain worldwide"),
+    ),
+    ("cc0", "creative commons zero v1 0 universal", ("creative commons zero",)),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        ("free and unencumbered software released into the public domain",),
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held "
+        "liable for any damages arising from the use of this software",
+        ("in no event will the authors be held liable for any damages arising from the use of this software",),
+    ),
+    (
+        "bsl-1",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license",
+        ("to any person or organization obtaining a copy of the software", "covered by this license"),
+    ),
+    ("bsl-1", "distributed under the boost software license version 1 0", ("boost software license version 1 0",)),
 )
-#: Distinct words by which a template is looked up, rarest first.
+#: Distinct words of a text by which a template is looked up, rarest first.
 ANCHORS = 5
 #: Share of a template's anchors that must agree on a beginning.
 AGREE = 0.6
@@ -102,25 +188,37 @@ def _places(joined: bytes, phrase: str) -> Iterator[int]:
 
 
 class Index:
-    """Positional postings of each template's rarest words."""
+    """Positional postings of all template words, and how rare they are."""
 
     def __init__(self, frequency: dict[bytes, int], texts: int):
         self.templates = [(label, t.encode().split(), phrases) for label, t, phrases in TEMPLATES]
-        self.rarity = lambda w: log((texts + 1) / (frequency.get(w, 0) + 1))
+        self.counts = [Counter(words) for _, words, _ in self.templates]
+        self.needed = [{w for p in phrases for w in p.encode().split()} for _, _, phrases in self.templates]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.anchors = []
         for number, (_, words, _) in enumerate(self.templates):
-            rarest = sorted(set(words), key=lambda w: (-self.rarity(w), w))[:ANCHORS]
-            self.anchors.append(len(rarest))
             for position, word in enumerate(words):
-                if word in rarest:
-                    self.postings[word].append((number, position))
+                self.postings[word].append((number, position))
+        rarity = {w: log((texts + 1) / (frequency.get(w, 0) + 1)) for w in self.postings}
+        self.rank = {w: place for place, w in enumerate(sorted(rarity, key=lambda w: (-rarity[w], w)))}
 
     def scan(self, words: list[bytes], joined: bytes) -> dict[str, float]:
         """Label -> best share of a template's words found in place."""
+        present = self.postings.keys() & words
+        open_templates = [n for n, needed in enumerate(self.needed) if needed <= present]
+        if not open_templates:
+            return {}
+        # the text's rarest license words, each for the templates that still lack anchors
+        anchors = dict.fromkeys(open_templates, 0)
+        asked: dict[bytes, list[tuple[int, int]]] = {}
+        for word in sorted(present, key=self.rank.__getitem__):
+            takers = {n for n, _ in self.postings[word] if anchors.get(n, ANCHORS) < ANCHORS}
+            if takers:
+                asked[word] = [x for x in self.postings[word] if x[0] in takers]
+                for number in takers:
+                    anchors[number] += 1
         votes: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
         for at, word in enumerate(words):
-            for number, position in self.postings.get(word, ()):
+            for number, position in asked.get(word, ()):
                 votes[number].append((at - position, word))
         found: dict[str, float] = {}
         for number, cast in votes.items():
@@ -132,17 +230,22 @@ class Index:
             for beginning, word in cast:
                 inside[word] += 1
                 while cast[first][0] < beginning - SLACK:
-                    inside[cast[first][1]] -= 1
-                    inside += Counter()
+                    gone = cast[first][1]
+                    inside[gone] -= 1
+                    if not inside[gone]:
+                        del inside[gone]
                     first += 1
-                if len(inside) < AGREE * self.anchors[number]:
+                if len(inside) < AGREE * anchors[number]:
                     continue
                 if stated is None:
                     stated = [list(_places(joined, p)) for p in phrases]
+                    if not all(stated):
+                        break
                 low, high = cast[first][0] - SLACK, beginning + len(template) + SLACK
-                if all(any(low <= p < high for p in places) for places in stated):
+                # places are in order
+                if all((at := bisect_left(places, low)) < len(places) and places[at] < high for places in stated):
                     here = Counter(words[max(0, low) : high])
-                    share = sum((here & Counter(template)).values()) / len(template)
+                    share = sum((here & self.counts[number]).values()) / len(template)
                     found[label] = max(found.get(label, 0.0), share)
         return found
 
@@ -179,7 +282,6 @@ def scan_licenses(rows: DataFrame, id_column: str = "doc_id", text_column: str =
 
     def work(batch: pa.RecordBatch) -> dict:
         known = Index(*index)
-        anchors = known.postings.keys()
         out: dict[str, list] = {name.split()[0]: [] for name in SCHEMA.split(", ")[1:]}
         for text in filled(batch.column("text")):
             words = words_of(text)
@@ -190,7 +292,7 @@ def scan_licenses(rows: DataFrame, id_column: str = "doc_id", text_column: str =
                 places = list(_places(joined, phrase))
                 base += places
                 base_labels |= {label} if places else set()
-            found = {} if anchors.isdisjoint(words) else known.scan(words, joined)
+            found = known.scan(words, joined)
             out["n_words"].append(len(words))
             out["n_base"].append(len(base))
             out["first_word"].append(min(base, default=None))
