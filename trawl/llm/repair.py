@@ -299,13 +299,9 @@ class Grammar:
         long = np.flatnonzero(self.lengths == LONG_RULE)
         self.lengths[long] = np.frombuffer(raw, "<u8", len(long), at)
         self.symbols, _ = _unpacked(raw, at + 8 * len(long), count, bits)
-        self.ends = np.cumsum(self._sizes(self.symbols))
-
-    def _sizes(self, symbols: np.ndarray) -> np.ndarray:
-        sizes = np.ones(len(symbols), dtype=np.int64)
-        deep = symbols >= self.alphabet
-        sizes[deep] = self.lengths[symbols[deep] - self.alphabet]
-        return sizes
+        # of every symbol: how many ids it stands for; an id stands for itself
+        self.sizes = np.concatenate([np.ones(self.alphabet, dtype=np.int64), self.lengths])
+        self.ends = np.cumsum(self.sizes[self.symbols])
 
     def ids(self, first: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids first .. stop - 1.  Only the symbols that cover them are looked
@@ -316,7 +312,7 @@ class Grammar:
             return np.zeros(0, dtype="<u4")
         a, b = np.searchsorted(self.ends, [first, stop - 1], side="right")
         symbols = self.symbols[a : b + 1]
-        starts = self.ends[a : b + 1] - self._sizes(symbols) - first
+        starts = self.ends[a : b + 1] - self.sizes[symbols] - first
         out = np.zeros(stop - first, dtype="<u4")
         while len(symbols):
             plain = symbols < self.alphabet
@@ -324,9 +320,9 @@ class Grammar:
             rules, starts = symbols[~plain] - self.alphabet, starts[~plain]
             left = self.left[rules]
             symbols = np.concatenate([left, self.right[rules]])
-            starts = np.concatenate([starts, starts + self._sizes(left)])
+            starts = np.concatenate([starts, starts + self.sizes[left]])
             if first > 0 or stop < total:
-                inside = (starts < stop - first) & (starts + self._sizes(symbols) > 0)
+                inside = (starts < stop - first) & (starts + self.sizes[symbols] > 0)
                 symbols, starts = symbols[inside], starts[inside]
         return out
 
