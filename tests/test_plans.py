@@ -93,3 +93,11 @@ def test_materialized_results_use_the_named_folder(spark):
     assert folder == spark.conf.get("spark.checkpoint.dir")
     kept = materialize(spark.range(5).toDF("id"))
     assert kept.count() == 5 and all(folder in f for f in kept.inputFiles())
+
+
+@pytest.mark.parametrize("spread", [None, "id"])
+def test_sides_beyond_the_check_are_never_broadcast(spark, spread):
+    """Few bytes in files do not make a side of many rows fit for the driver."""
+    big, small = spark.range(3000).select((F.col("id") % 9).alias("k"), "id"), spark.range(50).select(F.col("id").alias("k"))
+    shape = plan(sizing.join_checked(big, small, "k", spread=spread, rows=10))
+    assert "SortMergeJoin" in shape and "BroadcastHashJoin" not in shape
