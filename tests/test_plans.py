@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from trawl.operators.entities import entity_text_matches
+from trawl.operators.entities import entity_text_matches, find_related
 from trawl.operators.fuzzy_search import fuzzy_matches
 from trawl.operators.lexicon import matching_positions
 from trawl.operators.text_search import text_matches
@@ -101,3 +101,15 @@ def test_sides_beyond_the_check_are_never_broadcast(spark, spread):
     big, small = spark.range(3000).select((F.col("id") % 9).alias("k"), "id"), spark.range(50).select(F.col("id").alias("k"))
     shape = plan(sizing.join_checked(big, small, "k", spread=spread, rows=10))
     assert "SortMergeJoin" in shape and "BroadcastHashJoin" not in shape
+
+
+def test_entities_are_not_broadcast_to_their_links(spark):
+    people = spark.range(200).select(F.concat(F.lit("p"), "id").alias("id"), F.lit("n").alias("name"))
+    links = spark.range(200).select(
+        F.concat(F.lit("p"), "id").alias("source_id"), F.concat(F.lit("p"), F.col("id") % 7).alias("target_id"),
+        F.lit("KNOWS").alias("relationship_name"),
+    )
+    found = find_related(links.select(F.col("source_id").alias("id")), links, people, "KNOWS")
+    # the sources pass the row check; the entities have none
+    assert found.count() == 200
+    assert plan(found).count("+- SortMergeJoin Inner") == 1

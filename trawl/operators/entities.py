@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trawl.functions.filters import Filter, combine
 from trawl.functions.properties import typed_value
 from trawl.operators.vector_search import Embedder, embedded, nearest
-from trawl.plans.sizing import join_checked
+from trawl.plans.sizing import join_checked, shuffled
 from trawl.plans.topk import bounded_rows, cut, top_k, with_payload
 
 ENTITY_PAYLOAD = ("name", "description", "uri", "labels", "properties", "metadata", "context_id")
@@ -144,6 +144,6 @@ def find_related(
     name: str,
     direction: str = "OUTGOING",
 ) -> DataFrame:
-    """Entities one hop from each source.  The side joined to the entities is
-    left to adaptive execution, which splits an entity many links point to."""
-    return related_ids(sources, relationships, name, direction).join(entities, "id")
+    """Entities one hop from each source.  Both sides are shuffled; adaptive
+    execution splits an entity many links point to."""
+    return shuffled(related_ids(sources, relationships, name, direction)).join(entities, "id")
