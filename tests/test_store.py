@@ -234,3 +234,30 @@ def test_store_checks_vectors_and_leaves_no_files(spark, tmp_path):
     with pytest.raises(Exception, match="expected 2"):
         store.save(rows.withColumn("embedding", F.array(F.lit(1.0)).cast("array<float>")), upsert.save_chunks)
     assert store.elements.read().count() == 1 and store.postings.read().count() == 1
+
+
+@pytest.mark.parametrize("rows", [0, 1000])
+def test_saves_beyond_the_row_check_keep_postings_in_step(spark, tmp_path, now, monkeypatch, rows):
+    """Whole buckets analyzed anew, or the changed elements only: the same store."""
+    monkeypatch.setattr("trawl.sources.store.BROADCAST_ROWS", rows)
+    monkeypatch.setattr("trawl.sources.store.FILES_A_BUCKET", 2)
+    store = ContentStore(spark, str(tmp_path / "s"), kind="simple", buckets=3)
+    held = {}
+    for turn in range(5):
+        fresh = {f"c{n}": None if n % 7 == turn else f"Word{n % 3} turn{turn} word{n % 3}" for n in range(turn * 5, turn * 5 + 20)}
+        held |= fresh
+        batch = spark.createDataFrame(list(fresh.items()), "id string, text string").withColumn("labels", F.array(F.lit("Chunk")))
+        store.save(batch, upsert.save_chunks, now=now)
+    want = {(i, w): [k + 1 for k, x in enumerate(t.lower().split()) if x == w] for i, t in held.items() if t for w in t.lower().split()}
+    assert {(r.id, r.lexeme): r.positions for r in store.postings.read().collect()} == want
+    rows_held = store.elements.read().collect()
+    assert {r.id: r.text for r in rows_held} == held and len(rows_held) == len(held)
+    assert all(r.clean_text == (r.text or "").lower() and r.tokens == (r.text or "").lower().split(" ") for r in rows_held)
+    # a shuffle on the key gives a task rows of few buckets, and files do not pile up
+    names = [name for files in store.elements.files_of(range(3)).values() for name in files if not name.startswith(".")]
+    assert names and all("zstd" in name for name in names) and len(names) <= 3 * 2
+    # values that differ from what the text gives stay as they were
+    own = spark.createDataFrame([("x", "A B", "own", ["o"])], "id string, text string, clean_text string, tokens array<string>")
+    other = spark.createDataFrame([("y", "Z")], "id string, text string")
+    after = {r.id: r for r in upsert.save_elements(conform(own), other, now=now).collect()}
+    assert (after["x"].clean_text, after["x"].tokens) == ("own", ["o"]) and (after["y"].clean_text, after["y"].tokens) == ("z", ["z"])
