@@ -264,3 +264,20 @@ def test_last_part_of_hyphenated_words_is_stemmed(spark):
     got = {r.word: r.lexeme for r in lexicon.ENGLISH_KINDS.lexemes(vocabulary).collect()}
     assert got == {"re-runs": "re-run", "runs": "run", "runs@x.org": "runs@x.org", "1.5": "1.5"}
     assert all(lexicon.ENGLISH_KINDS.lexeme(w) == got.get(w) for w in ("re-runs", "runs", "runs@x.org", "1.5", "the"))
+
+
+def test_batches_are_cut_by_words():
+    """Python holds a bounded number of words at a time, and loses none."""
+    import pyarrow as pa
+
+    from trawl.operators.lexicon import SIMPLE, _grouped, slices
+
+    lists = [["a", "b"], [], ["a"] * 9, ["c"], ["d", "d", "e"], []]
+    batch = pa.RecordBatch.from_arrays([pa.array(list("uvwxyz")), pa.array(lists, pa.list_(pa.string()))], names=["id", "words"])
+    # a batch that is itself a slice starts within its arrays
+    for whole in (batch, batch.slice(1), batch.slice(6)):
+        cut = list(slices(iter([whole]), 4))
+        assert [r for part in cut for r in part.to_pylist()] == whole.to_pylist()
+        assert all(part.num_rows == 1 or sum(map(len, part.column(1).to_pylist())) <= 4 for part in cut)
+        found = [r for part in cut for out in _grouped(SIMPLE)(iter([part])) for r in out.to_pylist()]
+        assert found == [r for out in _grouped(SIMPLE)(iter([whole])) for r in out.to_pylist()]
