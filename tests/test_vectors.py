@@ -165,3 +165,35 @@ def test_searches_embed_their_queries(spark, make_elements):
     assert {r.query_id: r.id for r in found if r.rank == 1} == {"a": "3", "p": "1"}
     people = held.select("id", F.col("text").alias("name"), F.col("text").alias("description"), "labels", "metadata", "embedding")
     assert first(entity_vector_search(queries, conform_entities(people), 2, embed=embedder)) == {"a": "3", "p": "1"}
+
+
+def test_term_vectors_of_repeated_keys_and_long_texts(spark, monkeypatch):
+    """One Arrow pass a text: no row a word, texts of one key summed, none for texts without a word."""
+    import hashlib
+    import math
+
+    from trawl.functions.term_vectors import DIMENSION, bucket_weights, term_vectors
+
+    texts = [("a", "one two two"), ("a", "three"), ("b", " ... "), ("c", None), (None, "four"), ("d", "x " * 300_000), ("e", "")]
+    rows = spark.createDataFrame(texts, "id string, text string").coalesce(1)
+    weights = bucket_weights(rows)
+
+    def digest(word):
+        found = hashlib.md5(word.encode()).hexdigest()
+        return int(found[:4], 16), 1.0 if found[4] < "8" else -1.0
+
+    having = {}
+    for _, text in texts:
+        for bucket in {digest(w)[0] for w in (text or "").split() if w.isalnum()}:
+            having[bucket] = having.get(bucket, 0) + 1
+    weigh = {b: math.log(8 / (1 + n)) + 1 for b, n in having.items()}
+    want = {}
+    for key, text in texts:
+        for word in (text or "").split():
+            if word.isalnum():
+                bucket, sign = digest(word)
+                want.setdefault(key, [0.0] * DIMENSION)[bucket % DIMENSION] += sign * weigh[bucket]
+    found = term_vectors(rows, weights, "id", "text")
+    assert "Generate" not in found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    got = {r.id: r.embedding for r in found.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)

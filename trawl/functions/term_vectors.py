@@ -2,58 +2,91 @@
 
 A word's digest names one of ``BUCKETS`` buckets, a slot of the vector and a
 sign.  Buckets are weighed by how few texts have them; the table of weights has
-one row a bucket, whatever the corpus, so it is broadcast.  Texts go through
-Spark functions only: words are summed by slot where the text is read, and at
-most one row a slot and text is shuffled.
+one row a bucket, whatever the corpus, so each task has it whole.  Arrow
+batches look up each distinct word once and sum a text's words where it is
+read; one row a text is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.text import words
+from trawl.operators.lexicon import slices
 from trawl.plans.lineage import materialize
 
 BUCKETS = 1 << 16
 DIMENSION = 64
 
 
-def _bucket(word: Column) -> Column:
-    return F.conv(F.substring(F.md5(word.cast("binary")), 1, 4), 16, 10).cast("int")
+def _digested(held: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The row, bucket and sign of every word of a column of word lists."""
+    flat = held.flatten().dictionary_encode()
+    digests = [md5(w.encode()).digest() for w in flat.dictionary.to_pylist()]
+    bucket = np.array([d[0] << 8 | d[1] for d in digests], np.int64)
+    sign = np.array([1.0 if d[2] < 128 else -1.0 for d in digests])
+    of_word = flat.indices.to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
+    return row, bucket[of_word], sign[of_word]
 
 
-def _sign(word: Column) -> Column:
-    return F.when(F.substring(F.md5(word.cast("binary")), 5, 1) < "8", 1.0).otherwise(-1.0)
+def _having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, texts) of a task: how many texts have a word of the bucket."""
+    texts = np.zeros(BUCKETS, np.int64)
+    for batch in slices(batches):
+        row, bucket, _ = _digested(batch.column(1))
+        texts += np.bincount(np.unique(row * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
+    found = np.flatnonzero(texts)
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(texts[found])], names=["bucket", "texts"])
 
 
 def bucket_weights(texts: DataFrame, text: str = "text") -> DataFrame:
     """(bucket, weight) of all buckets: ln((1 + texts) / (1 + texts with it)) + 1."""
-    held = F.explode(F.array_distinct(F.transform(words(F.col(text)), _bucket))).alias("bucket")
-    having = texts.select(held).groupBy("bucket").agg(F.count("*").alias("texts"))
+    held = texts.select(F.lit(None).cast("string").alias("key"), words(F.col(text)).alias("words"))
+    having = held.mapInArrow(_having, "bucket int, texts bigint").groupBy("bucket").agg(F.sum("texts").alias("texts"))
     total = texts.count()
     weight = F.log((1.0 + F.lit(total)) / (1.0 + F.coalesce("texts", F.lit(0)))) + 1.0
     every = texts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     return materialize(every.join(having, "bucket", "left").select("bucket", weight.alias("weight")))
 
 
+def _summed(weights: np.ndarray, dimension: int):
+    """An Arrow kernel from (key, words) to (key, embedding)."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            row, bucket, sign = _digested(batch.column(1))
+            sums = np.bincount(row * dimension + bucket % dimension, sign * weights[bucket], batch.num_rows * dimension)
+            offsets = np.arange(0, len(sums) + 1, dimension, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums))], names=["key", "embedding"]
+            )
+
+    return kernel
+
+
 def term_vectors(rows: DataFrame, weights: DataFrame, key: str, text: str, dimension: int = DIMENSION) -> DataFrame:
-    """(key, embedding) of every text that has a word; keys are unique."""
-    terms = rows.select(
-        key, F.explode(F.transform(words(F.col(text)), lambda w: F.struct(_bucket(w).alias("bucket"), _sign(w).alias("sign")))).alias("term")
-    ).select(key, "term.*")
-    sums = (
-        terms.join(F.broadcast(weights), "bucket")
-        .groupBy(key, F.pmod("bucket", F.lit(dimension)).alias("slot"))
-        .agg(F.sum(F.col("sign") * F.col("weight")).alias("value"))
-    )
-    held = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("slot", "value"))).alias("held"))
-    slots = F.transform(
-        F.sequence(F.lit(0), F.lit(dimension - 1)), lambda s: F.coalesce(F.try_element_at("held", s), F.lit(0.0))
-    )
-    return held.select(key, slots.alias("embedding"))
+    """(key, embedding) of every text that has a word; texts of one key are summed."""
+    # one number a bucket, whatever the corpus
+    table = np.zeros(BUCKETS)
+    for bucket, weight in weights.select("bucket", "weight").collect():
+        table[bucket] = weight
+    held = rows.select(F.col(key).alias("key"), words(F.col(text)).alias("words")).where(F.size("words") > 0)
+    kind = held.schema["key"].dataType.simpleString()
+    found = held.mapInArrow(_summed(table, dimension), f"key {kind}, embedding array<double>")
+    parts = found.groupBy("key").agg(F.collect_list("embedding").alias("parts"))
+    none = F.array_repeat(F.lit(0.0), dimension)
+    total = F.aggregate("parts", none, lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+    # a key has one text as a rule
+    embedding = F.when(F.size("parts") == 1, F.get("parts", F.lit(0))).otherwise(total)
+    return parts.select(F.col("key").alias(key), embedding.alias("embedding"))
 
 
 @dataclass(frozen=True)
