@@ -281,3 +281,16 @@ def test_batches_are_cut_by_words():
         assert all(part.num_rows == 1 or sum(map(len, part.column(1).to_pylist())) <= 4 for part in cut)
         found = [r for part in cut for out in _grouped(SIMPLE)(iter([part])) for r in out.to_pylist()]
         assert found == [r for out in _grouped(SIMPLE)(iter([whole])) for r in out.to_pylist()]
+
+
+def test_queries_that_ask_the_same_are_ranked_once(spark, make_queries):
+    """Every one of them gets its rows, from a single evaluation."""
+    chunks = spark.createDataFrame([("c1", "red green"), ("c2", "red red"), ("c3", "blue")], "id string, text string")
+    asked = make_queries({"a": "red", "b": "Red!", "c": "red", "d": "red green", "e": "red green", "f": "blue"})
+    found = text_matches(asked, chunks, syntax="plain", kind="simple")
+    got = {(r.query_id, r.id): r.raw_rank for r in found.collect()}
+    assert got.keys() == {(q, i) for q in "abc" for i in ("c1", "c2")} | {("d", "c1"), ("e", "c1"), ("f", "c3")}
+    assert len({got[q, "c2"] for q in "abc"}) == 1 and got["d", "c1"] == got["e", "c1"]
+    shape = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    # the ids of the queries are dealt out after the rank
+    assert shape.index("explode(query_ids") < shape.index("explode(map_keys(hits")
