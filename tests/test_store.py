@@ -261,3 +261,41 @@ def test_saves_beyond_the_row_check_keep_postings_in_step(spark, tmp_path, now,
     other = spark.createDataFrame([("y", "Z")], "id string, text string")
     after = {r.id: r for r in upsert.save_elements(conform(own), other, now=now).collect()}
     assert (after["x"].clean_text, after["x"].tokens) == ("own", ["o"]) and (after["y"].clean_text, after["y"].tokens) == ("z", ["z"])
+
+
+def test_a_few_changes_leave_the_other_rows_where_they_are(spark, tmp_path, now, monkeypatch):
+    """More changed ids than rows that may be broadcast, but few beside the table."""
+    from trawl.operators import lexicon
+
+    analyzed, known = [], []
+    fresh, derive = lexicon.postings, upsert.upsert
+    monkeypatch.setattr("trawl.sources.store.BROADCAST_ROWS", 1)
+    monkeypatch.setattr(lexicon, "postings", lambda texts, kind: analyzed.append(texts.count()) or fresh(texts, kind))
+    monkeypatch.setattr(upsert, "upsert", lambda target, *a, **b: known.append(target.count()) or derive(target, *a, **b))
+    store = ContentStore(spark, str(tmp_path / "s"), kind="simple", buckets=3)
+    first = [(f"c{i}", f"Word{i % 3} b a b") for i in range(40)]
+    store.save(chunk_rows(spark, first), upsert.save_chunks, now=now)
+    # without derived columns, as an append leaves them
+    store.elements.append(conform(chunk_rows(spark, [("bare", "No Words")])))
+    changed = chunk_rows(spark, [("c3", "new text"), ("c4", None), ("added", "fresh"), ("c3", "new text")])
+    store.save(changed, upsert.save_elements, now=now)
+    assert analyzed == [40, 2] and known == [0, 2]
+    held = store.elements.read().collect()
+    want = dict(first) | {"bare": "No Words", "c3": "new text", "c4": None, "added": "fresh"}
+    assert {r.id: r.text for r in held} == want and len(held) == len(want)
+    touched = set(store.elements.buckets_of(changed))
+    assert all(r.tokens == (r.text or "").lower().split(" ") for r in held if r.bucket in touched)
+    found = {(r.id, r.lexeme): r.positions for r in store.postings.read().collect()}
+    texts = {i: t for i, t in want.items() if t and i != "bare"}
+    assert found == {(i, w): [k + 1 for k, x in enumerate(t.lower().split()) if x == w] for i, t in texts.items() for w in t.lower().split()}
+
+
+def test_updates_without_repeated_keys_are_not_folded(spark, tmp_path, now, monkeypatch):
+    folded = []
+    fold = upsert.last_per_key
+    monkeypatch.setattr(upsert, "last_per_key", lambda *a: folded.append(1) or fold(*a))
+    store = ContentStore(spark, str(tmp_path / "s"), kind="simple", buckets=2)
+    store.save(chunk_rows(spark, [("a", "one"), ("b", "two")]), upsert.save_chunks, now=now)
+    assert folded == []
+    store.save(updates(spark, [("a", "x", ["Chunk"], 1), ("a", "y", ["Chunk"], 2), (None, "z", ["Chunk"], 1)]).where("id IS NOT NULL"), upsert.save_chunks, now=now, order="n")
+    assert folded == [1] and {r.id: r.text for r in store.elements.read().collect()} == {"a": "y", "b": "two"}
