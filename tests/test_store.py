@@ -270,7 +270,7 @@ def test_a_few_changes_leave_the_other_rows_where_they_are(spark, tmp_path, now,
     analyzed, known = [], []
     fresh, derive = lexicon.postings, upsert.upsert
     monkeypatch.setattr("trawl.sources.store.BROADCAST_ROWS", 1)
-    monkeypatch.setattr(lexicon, "postings", lambda texts, kind: analyzed.append(texts.count()) or fresh(texts, kind))
+    monkeypatch.setattr(lexicon, "postings", lambda texts, *a, **b: analyzed.append(texts.count()) or fresh(texts, *a, **b))
     monkeypatch.setattr(upsert, "upsert", lambda target, *a, **b: known.append(target.count()) or derive(target, *a, **b))
     store = ContentStore(spark, str(tmp_path / "s"), kind="simple", buckets=3)
     first = [(f"c{i}", f"Word{i % 3} b a b") for i in range(40)]

@@ -300,7 +300,7 @@ def test_postings_of_a_slice_come_in_the_order_of_lexemes(spark):
     from trawl.operators.lexicon import ENGLISH, SIMPLE, postings
 
     texts = spark.createDataFrame([("1", "b a b z\u00e9 a"), ("2", ""), ("3", "the \U0001d41a \uff41 running runs")], "id string, text string")
-    rows = [(r.lexeme, r.id, r.positions) for r in postings(texts.coalesce(1), SIMPLE).collect()]
+    rows = [(r.lexeme, r.id, r.positions) for r in postings(texts.coalesce(1), SIMPLE, by_lexeme=True).collect()]
     assert rows[:2] == [("a", "1", [2, 5]), ("b", "1", [1, 3])] and len(rows) == 8
     assert [r[0].encode() for r in rows] == sorted(r[0].encode() for r in rows)
-    assert ("run", "3", [4, 5]) in [(r.lexeme, r.id, r.positions) for r in postings(texts, ENGLISH).collect()]
+    assert ("run", "3", [4, 5]) in [(r.lexeme, r.id, r.positions) for r in postings(texts, ENGLISH, by_lexeme=True).collect()]
